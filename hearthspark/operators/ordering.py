@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from hearthspark.functions.draws import AFTER_ALL, draw
 from hearthspark.operators.joins import lookup, null_safe, settle
+from hearthspark.session import materialize
 
 # Sixteen to the power of this many buckets per group.
 DRAW_DIGITS = 4
@@ -114,11 +115,13 @@ def running_totals(df: DataFrame, value: str, measures: Sequence[str], by: Seque
                    buckets: int = 64) -> DataFrame:
     """Totals of ``measures`` over smaller values, as ``<measure>_before``.
 
-    ``df`` holds one row per (group, value). Quantiles cut the values of each
+    ``df`` holds one row per (group, value) and is written once, as it is read
+    for the bucket edges, the bucket totals and the rows. Quantiles cut the values of each
     group into even buckets; buckets are summed in parallel and a table of
     bucket totals supplies what lies before each of them.
     """
     group = list(by)
+    df = materialize(df)
     points = [i / buckets for i in range(1, buckets)]
     quantiles = F.percentile_approx(value, points, F.lit(1000)).alias("_edges")
     if group:
