@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthspark.functions.draws import draw
-from hearthspark.functions.nulls import members
 from hearthspark.operators.joins import lookup
 from hearthspark.operators.ordering import segments
 from hearthspark.operators.profile import class_distribution, share_within
@@ -109,7 +108,3 @@ def matched_sample(source: DataFrame, target: DataFrame, key: str, strata: Seque
 
     cut = segments(source, "_segment", key, cuts, by=strata, seed=seed, quotas=wanted)
     return cut.filter("_segment = 0").drop("_segment")
-
-
-def size_by(df: DataFrame, name: str) -> DataFrame:
-    return df.groupBy(name).agg(members().alias("n"))
