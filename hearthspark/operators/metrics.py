@@ -54,15 +54,15 @@ def precision_recall_f1(hits: Column, predicted: Column, actual: Column,
 
 
 def scores(df: DataFrame, positive: object, label: str = "label", prediction: str = "prediction",
-           undefined: float | None = 0.0) -> DataFrame:
-    """Precision, recall and F1 of the class named by ``positive``."""
-    counts = df.agg(
+           undefined: float | None = 0.0, by: Sequence[str] = ()) -> DataFrame:
+    """Precision, recall and F1 of the class named by ``positive``, per group if asked."""
+    counts = df.groupBy(*by).agg(
         F.count_if((F.col(label) == positive) & (F.col(prediction) == positive)).alias("hits"),
         F.count_if(F.col(prediction) == positive).alias("predicted"),
         F.count_if(F.col(label) == positive).alias("actual"),
     )
     precision, recall, f1 = precision_recall_f1(F.col("hits"), F.col("predicted"), F.col("actual"), undefined)
-    return counts.select(precision.alias("precision"), recall.alias("recall"), f1.alias("f1"))
+    return counts.select(*by, precision.alias("precision"), recall.alias("recall"), f1.alias("f1"))
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -110,15 +110,15 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score", posi
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", positive: object = 1,
-            either_direction: bool = False) -> DataFrame:
-    """Area under the ROC curve, ties counted half.
+            either_direction: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    """Area under the ROC curve, ties counted half, per group if asked.
 
     ``either_direction`` reports the better of the score and its negative.
     """
-    ordered = running_totals(score_counts(df, label, score, positive), "score", ["neg"])
+    ordered = running_totals(score_counts(df, label, score, positive, by), "score", ["neg"], by=by)
     wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0)))
     area = F.try_divide(wins, F.sum("pos").cast("double") * F.sum("neg").cast("double"))
-    result = ordered.agg(area.alias("auc"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    result = ordered.groupBy(*by).agg(area.alias("auc"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
     return result.withColumn("auc", F.greatest("auc", F.lit(1.0) - F.col("auc"))) if either_direction else result
 
 

@@ -6,7 +6,8 @@ from importlib import import_module
 
 from hearthspark.plans.registry import QUERIES, Query
 
-MODULES = ("feature_queries", "table_queries", "sampling_queries", "evaluation_queries", "neighbour_queries")
+MODULES = ("feature_queries", "table_queries", "sampling_queries", "evaluation_queries", "neighbour_queries",
+           "model_queries")
 
 
 def all_queries() -> dict[str, Query]:
