@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,11 +79,19 @@ def fill_constant(df: DataFrame, values: dict[str, object]) -> DataFrame:
 
 def fill_all(df: DataFrame, number: int = 0) -> DataFrame:
     """One constant in every missing cell, written as text or false where the type asks."""
-    return df.na.fill(number).na.fill(str(number)).na.fill(bool(number))
+    kinds = {T.StringType: str(number), T.BooleanType: bool(number)}
+    return df.na.fill({f.name: kinds.get(type(f.dataType), number) for f in df.schema.fields})
 
 
 def drop_incomplete_rows(df: DataFrame) -> DataFrame:
-    return df.na.drop("any")
+    """Rows without any missing cell, NaN counting as missing.
+
+    One condition per column: a single condition over many columns makes the
+    optimizer's constraint sets grow exponentially in later projections.
+    """
+    present = [F.col(name).isNotNull() for name in df.columns]
+    present += [~F.isnan(name) for name in fractional_names(df)]
+    return df.filter(reduce(lambda a, b: a & b, present))
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:

@@ -19,12 +19,13 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthspark.operators.encode import apply_scale, assemble, fit_scale
+from hearthspark.operators.encode import fit_scale
 from hearthspark.operators.impute import apply_fill, fit_median
 from hearthspark.operators.metrics import apply_cutoff
 from hearthspark.operators.sampling import with_weights
@@ -52,12 +53,19 @@ class Scorer:
     label: str = LABEL
 
     def features(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        """Align, fill and scale a table the way the training table was."""
+        """Align, fill and scale a table the way the training table was, as one vector column."""
         have = set(df.columns)
-        wide = df.select(*keep, *[
-            (F.col(n) if n in have else F.lit(None)).cast("double").alias(n) for n in self.names
-        ])
-        return assemble(apply_scale(apply_fill(wide, self.fills), self.scale), self.names, keep=keep)
+
+        def ready(name: str) -> Column:
+            value = (F.col(name) if name in have else F.lit(None)).cast("double")
+            if name in self.fills:
+                value = F.coalesce(value, F.lit(float(self.fills[name])))
+            mean, spread = self.scale.get(name, (0.0, 1.0))
+            return (value - F.lit(mean)) / F.lit(spread or 1.0) if name in self.scale else value
+
+        inputs = {f"_in_{name}": ready(name) for name in self.names}
+        wide = df.select(*keep, *[value.alias(alias) for alias, value in inputs.items()])
+        return VectorAssembler(inputCols=list(inputs), outputCol="features").transform(wide).select(*keep, "features")
 
     def score(self, df: DataFrame, keep: Sequence[str] = ("id",)) -> DataFrame:
         """``keep`` columns and ``score``: probability of the label, or the regression value."""
@@ -121,15 +129,15 @@ def forest(trees: int = FOREST_TREES, depth: int = 10, seed: int = 42) -> Random
 
 
 def boosted(depth: int = 6, rate: float = 0.1, rounds: int = 500, row_share: float = 0.8, column_share: float = 0.8,
-            min_rows: int = 1, seed: int = 42) -> GBTClassifier:
+            min_rows: int = 1, seed: int = 42, **more) -> GBTClassifier:
     return GBTClassifier(maxDepth=depth, stepSize=rate, maxIter=rounds, subsamplingRate=row_share,
                          featureSubsetStrategy=str(column_share), minInstancesPerNode=min_rows, seed=seed,
-                         maxMemoryInMB=1024)
+                         maxMemoryInMB=1024, **more)
 
 
 def boosted_with_stop(indicator: str, tolerance: float = 0.01, **settings) -> GBTClassifier:
     """Rounds end when the rows marked by ``indicator`` no longer gain."""
-    return boosted(**settings).setValidationIndicatorCol(indicator).setValidationTol(tolerance)
+    return boosted(**settings, validationIndicatorCol=indicator, validationTol=tolerance)
 
 
 def elastic_logistic(alpha: float = ELASTIC_ALPHA, penalty: float = 0.0, rounds: int = 100) -> LogisticRegression:

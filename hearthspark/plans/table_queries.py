@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from hearthspark.operators import columns as c
 from hearthspark.operators import features as ft
+from hearthspark.operators import joins as j
 from hearthspark.operators import ordering as o
 from hearthspark.operators import profile as p
-from hearthspark.operators.joins import reattach_label
 from hearthspark.plans.feature_queries import ENHANCED_SQL, SECOND_SET_SQL, rounded
 from hearthspark.plans.registry import query, with_tables
 from hearthspark.session import fresh_path
@@ -138,8 +138,8 @@ def replace_infinite(s: Survey) -> DataFrame:
 # ---- joins by key -----------------------------------------------------------------
 
 @query(with_tables("select id, Clase, Fex_c, Pobre from train"))
-def reattach_label_by_key(s: Survey) -> DataFrame:
-    return reattach_label(s.train.select("id", "Clase", "Fex_c"), s.train, LABEL)
+def reattach_label(s: Survey) -> DataFrame:
+    return j.reattach_label(s.train.select("id", "Clase", "Fex_c"), s.train, LABEL)
 
 
 @query(with_tables("select * exclude (part, Pobre, Npobres, Indigente, Nindigentes), Pobre, 0 as is_test from train "

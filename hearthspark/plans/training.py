@@ -44,7 +44,7 @@ def modelling_tables(s: Survey) -> tuple[DataFrame, DataFrame, list[str]]:
         ready = ready_table(df, other)
         return c.replace_infinite(ready, ["dependency_ratio"], 0.0)
 
-    ready_train, ready_test = finish(train, test), finish(test, train)
+    ready_train, ready_test = materialize(finish(train, test)), materialize(finish(test, train))
     return ready_train, ready_test, c.numeric_names(ready_train, excluded=["id", LABEL])
 
 
