@@ -37,6 +37,8 @@ def local_session(cpus: int | str = 8, memory: str = "12g", name: str = "hearths
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.ui.enabled", "false")
+        # Call sites of single columns cost more than all other plan building together.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in SQL_SETTINGS.items():
