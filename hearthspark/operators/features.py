@@ -129,6 +129,7 @@ def education_sum() -> Feature:
 
 def activity(codes: Sequence[int] = ACTIVITY_CODES) -> list[Feature]:
     stem = "P6240"
+    codes = sorted({*codes, WORKING, SEEKING})
 
     def parts() -> dict[str, Column]:
         return _code_counts(stem, codes)

@@ -42,10 +42,21 @@ def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left"
     return df.join(side, null_safe(on, [inner[n] for n in on]), how).drop(*inner.values())
 
 
+def join_one_to_many(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join of ``table`` (one row per key) onto rows among which a key may be hot.
+
+    Adaptive execution splits a hot key only where the join itself asked for
+    both exchanges. A table that a grouping left partitioned by the key would
+    be joined without one; the null-safe form makes Spark exchange it again.
+    """
+    keyed = table.withColumnRenamed(key, "_key")
+    return rows.join(keyed, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+
+
 def join_household_columns(persons: DataFrame, households: DataFrame, columns: Sequence[str],
                            key: str = "id") -> DataFrame:
     """Household columns on every person row (many persons to one household)."""
-    return persons.join(households.select(key, *columns), key, "left")
+    return join_one_to_many(persons, households.select(key, *columns), key)
 
 
 def group_value_on_rows(df: DataFrame, values: dict[str, Column], by: str = "id") -> DataFrame:
@@ -54,9 +65,7 @@ def group_value_on_rows(df: DataFrame, values: dict[str, Column], by: str = "id"
     A window would bring a whole group to one task. Grouping first combines on
     the map side, and the join back can split a hot group.
     """
-    grouped = df.groupBy(by).agg(*[value.alias(name) for name, value in values.items()])
-    keyed = grouped.withColumnRenamed(by, "_group")
-    return df.join(keyed, F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
+    return join_one_to_many(df, df.groupBy(by).agg(*[value.alias(name) for name, value in values.items()]), by)
 
 
 def reattach_label(sample: DataFrame, source: DataFrame, label: str, key: str = "id") -> DataFrame:

@@ -42,7 +42,7 @@ def _before(by: Sequence[str], order: str):
 
 
 def row_numbers(df: DataFrame, name: str, key: str | Sequence[str], by: Sequence[str] = (), seed: int = 42,
-                digits: int = DRAW_DIGITS) -> DataFrame:
+                digits: int = 3) -> DataFrame:
     """1, 2, 3, ... in each group, in the order of the hashed key.
 
     Rows are numbered inside (group, leading digits of the draw), which is
@@ -52,14 +52,10 @@ def row_numbers(df: DataFrame, name: str, key: str | Sequence[str], by: Sequence
     marked = df.withColumn("_draw", draw(key, seed)).withColumn("_bucket", F.substring("_draw", 1, digits))
     totals = marked.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = totals.select(
-        *[F.col(g).alias(f"_g_{g}") for g in group],
-        F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_n").over(_before(group, "_bucket")), F.lit(0)).alias("_offset"),
-    )
+        *group, "_bucket", F.coalesce(F.sum("_n").over(_before(group, "_bucket")), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*group, "_bucket").orderBy("_draw")
     ranked = marked.withColumn("_rank", F.row_number().over(inside))
-    same = null_safe([*group, "_bucket"], [*[f"_g_{g}" for g in group], "_b"])
-    joined = ranked.join(offsets, same, "inner")
+    joined = lookup(ranked, offsets, [*group, "_bucket"])
     return joined.select(*df.columns, (F.col("_rank") + F.col("_offset")).cast("long").alias(name))
 
 

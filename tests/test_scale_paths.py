@@ -126,28 +126,32 @@ def test_running_totals_equal_a_plain_sum(spark):
     assert total["n_before"] + total["n"] == sum(n for *_, n in rows)
 
 
-def test_hot_household_is_split_in_the_join(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100KB")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+@pytest.mark.parametrize("form", ["group_value_on_rows", "join_household_columns"])
+def test_hot_household_is_split_in_the_join(spark, form):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
         rows = spark.range(0, 200000, 1, 8).select(
             F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("id"),
             F.sha2(F.col("id").cast("string"), 256).alias("text"))
-        got = j.group_value_on_rows(rows, {"n": F.count(F.lit(1))})
-        assert got.filter("id = 0").select("n").distinct().collect()[0]["n"] == 66667
-        got.write.format("noop").mode("overwrite").save()
-        got.count()
-        got.agg(F.max(F.length("text")), F.max("n")).collect()
-        checked = got.select("id", "text", "n")
-        checked.collect()
-        assert "skew=true" in checked._jdf.queryExecution().executedPlan().toString()
+        if form == "group_value_on_rows":
+            got = j.group_value_on_rows(rows, {"n": F.count(F.lit(1))})
+        else:
+            got = j.join_household_columns(rows, rows.select("id").distinct().withColumn("n", F.lit(66667)), ["n"])
+        collected = got.collect()
+        assert len(collected) == 200000 and {r["n"] for r in collected if r["id"] == 0} == {66667}
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
     finally:
-        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
-                     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
-                     "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
-            spark.conf.unset(name)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def test_scorer_survives_saving(spark, survey):
