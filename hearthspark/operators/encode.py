@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthspark.operators.impute import apply_fill, fit_median
@@ -35,7 +36,7 @@ def apply_scale(df: DataFrame, fitted: dict[str, tuple[float, float]]) -> DataFr
 
 
 def fit_levels(df: DataFrame, name: str, limit: int = LEVEL_LIMIT) -> list[object]:
-    """Sorted distinct values. Beyond ``limit`` use ``preprocessor``, which keeps them in one sparse vector."""
+    """Sorted distinct values. Beyond ``limit`` use ``fit_preprocessor``: one sparse vector."""
     rows = df.select(name).filter(F.col(name).isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"{name} has more than {limit} levels; encode it as a vector column")
@@ -51,34 +52,49 @@ def onehot_columns(df: DataFrame, levels: dict[str, list[object]], drop_first: b
     return df.select(*[name for name in df.columns if name not in levels], *made)
 
 
-def preprocessor(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-                 output: str = "features") -> tuple[dict[str, object], PipelineModel]:
-    """Fit both branches: median then scale for numbers, "missing" then one-hot for categories."""
-    fills: dict[str, object] = {**fit_median(df, numeric), **{name: MISSING for name in categorical}}
-    ready = prepare_branches(df, fills, numeric, categorical)
+@dataclass(frozen=True)
+class Preprocessor:
+    """Median and scale for numbers, "missing" and one-hot for categories, in one vector."""
+
+    numeric: list[str]
+    categorical: list[str]
+    fills: dict[str, object]
+    scales: dict[str, tuple[float, float]]
+    encoder: PipelineModel
+    levels: dict[str, int]
+
+    def transform(self, df: DataFrame, keep: Sequence[str], output: str = "features") -> DataFrame:
+        inputs = [*self.numeric, *self.categorical]
+        own = df.select(*keep, *[F.col(name).alias(f"_in_{name}") for name in inputs])
+        ready = _branches(own, self.fills, self.scales, self.numeric, self.categorical)
+        return self.encoder.transform(ready).select(*keep, F.col("_features").alias(output))
+
+
+def _branches(df: DataFrame, fills: dict[str, object], scales: dict[str, tuple[float, float]],
+              numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    def number(name: str) -> Column:
+        mean, sd = scales[name]
+        filled = F.coalesce(F.col(f"_in_{name}").cast("double"), F.lit(float(fills[name])))
+        return (filled - F.lit(mean)) / F.lit(sd if sd else 1.0)
+
+    texts = {f"_in_{n}": F.coalesce(F.col(f"_in_{n}").cast("string"), F.lit(MISSING)) for n in categorical}
+    return df.withColumns({**{f"_in_{n}": number(n) for n in numeric}, **texts})
+
+
+def fit_preprocessor(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Preprocessor:
+    """A category the training table lacks becomes all zeros."""
+    fills: dict[str, object] = fit_median(df, numeric)
+    scales = fit_scale(apply_fill(df, fills), numeric)
+    own = df.select(*[F.col(name).alias(f"_in_{name}") for name in [*numeric, *categorical]])
+    texts, index, hot = ([f"_in_{n}{end}" for n in categorical] for end in ("", "_index", "_hot"))
     stages = [
-        VectorAssembler(inputCols=list(numeric), outputCol="_numbers"),
-        StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
-    ]
-    blocks = ["_scaled"]
-    if categorical:
-        index = [f"_{name}_index" for name in categorical]
-        hot = [f"_{name}_hot" for name in categorical]
-        stages += [
-            StringIndexer(inputCols=list(categorical), outputCols=index, stringOrderType="alphabetAsc",
-                          handleInvalid="keep"),
-            OneHotEncoder(inputCols=index, outputCols=hot),
-        ]
-        blocks += hot
-    stages.append(VectorAssembler(inputCols=blocks, outputCol=output))
-    return fills, Pipeline(stages=stages).fit(ready)
-
-
-def prepare_branches(df: DataFrame, fills: dict[str, object], numeric: Sequence[str],
-                     categorical: Sequence[str]) -> DataFrame:
-    texts = df.withColumns({name: F.col(name).cast("string") for name in categorical}) if categorical else df
-    filled = apply_fill(texts, fills)
-    return filled.withColumns({name: F.col(name).cast("double") for name in numeric})
+        StringIndexer(inputCols=texts, outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep"),
+        OneHotEncoder(inputCols=index, outputCols=hot),
+    ] if categorical else []
+    stages.append(VectorAssembler(inputCols=[*[f"_in_{n}" for n in numeric], *hot], outputCol="_features"))
+    encoder = Pipeline(stages=stages).fit(_branches(own, fills, scales, numeric, categorical))
+    sizes = [len(labels) for labels in encoder.stages[0].labelsArray] if categorical else []
+    return Preprocessor(list(numeric), list(categorical), fills, scales, encoder, dict(zip(categorical, sizes)))
 
 
 def assemble(df: DataFrame, names: Sequence[str], output: str = "features", keep: Sequence[str] = ()) -> DataFrame:

@@ -13,7 +13,7 @@ from hearthspark.operators import metrics as m
 from hearthspark.operators import models as md
 from hearthspark.operators import sampling as sm
 from hearthspark.plans import training as tr
-from hearthspark.plans.registry import query
+from hearthspark.plans.registry import query, with_tables
 from hearthspark.session import fresh_path, materialize
 from hearthspark.sources.files import export_predictions
 from hearthspark.sources.survey import LABEL, Survey
@@ -115,11 +115,22 @@ def batch_score(s: Survey) -> DataFrame:
     return md.Scorer.load(s.spark, path).predict(test)
 
 
-@query()
+@query(with_tables("select id, case when 1-Fex_c/500>0.8e0 then 1 else 0 end as pobre from test"))
 def prediction_export(s: Survey) -> DataFrame:
-    train, test, names = tr.modelling_tables(s)
-    scorer = md.fit_scorer(train, md.elastic_logistic(0.0, 0.01), names)
-    return export_predictions(scorer.predict(test), test, fresh_path(s.spark, "predictions"))
+    """The written prediction file read back; the score is a column expression so that SQL can follow."""
+    predicted = m.apply_cutoff(s.test.select("id", (1 - F.col("Fex_c") / 500).alias("score")), 0.8)
+    return export_predictions(predicted, s.test, fresh_path(s.spark, "predictions"))
+
+
+@query()
+def gbt_cross_validate(s: Survey) -> DataFrame:
+    """Three folds, each scaled and brought to parity by SMOTE before boosting."""
+    train, _, names = tr.modelling_tables(s)
+
+    def fit(rows: DataFrame) -> md.Scorer:
+        return tr.fit_on_smote(rows, md.boosted(rounds=5, depth=5), names)
+
+    return m.fold_summary(tr.cross_validate(train, fit, k=3).per_fold, ["auc", "precision", "recall", "f1"])
 
 
 @query()

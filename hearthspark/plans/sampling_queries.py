@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,14 +147,29 @@ def onehot_drop_first(s: Survey) -> DataFrame:
     return e.onehot_columns(test, {n: e.fit_levels(train, n) for n in ("P5090", "pension_status")}, drop_first=True)
 
 
-@query()
+PIPED = ["P5000", "P5010", "P5100", "Nper", "Fex_c"]
+PIPED_TEXT = ["Dominio", "pension_status", "Clase"]
+LEVEL_SQL = ", ".join(f"(select l from (select distinct v, dense_rank() over (order by v)-1 as l from (select "
+                      f"coalesce(cast({n} as varchar),'missing') as v from enhanced where part='train')) q "
+                      f"where q.v=coalesce(cast(e.{n} as varchar),'missing')) as {n}_level" for n in PIPED_TEXT)
+
+
+@query(with_tables(f"""select id, {", ".join(f"round((coalesce({n},m_{n})-a_{n})/s_{n},6) as {n}" for n in PIPED)},
+    {LEVEL_SQL} from enhanced e, (select {", ".join(f"avg(coalesce({n},m_{n})) as a_{n}, "
+    f"stddev_pop(coalesce({n},m_{n})) as s_{n}" for n in PIPED)} from train, {_medians(PIPED)}), {_medians(PIPED)}
+    where part='test'""", enhanced=ENHANCED_SQL))
 def preprocess_pipeline(s: Survey) -> DataFrame:
-    rows = ft.enhance(s.households, s.persons)
-    numeric = ["P5000", "P5010", "P5100", "Nper", "Fex_c", "mean_age_household", "P6240_unemployment_rate"]
-    categories = ["Dominio", "pension_status", "Clase"]
+    """Scaled numbers and the position of the hot entry in each category block."""
+    rows = ft.enhance(s.households, s.persons).select("id", "part", *PIPED, *PIPED_TEXT)
     train, test = rows.filter("part = 'train'"), rows.filter("part = 'test'")
-    fills, model = e.preprocessor(train, numeric, categories)
-    return model.transform(e.prepare_branches(test, fills, numeric, categories)).select("id", "features")
+    fitted = e.fit_preprocessor(train, PIPED, PIPED_TEXT)
+    parts = [F.round(F.col("v")[i], 6).alias(n) for i, n in enumerate(PIPED)]
+    start = len(PIPED) + 1
+    for name in PIPED_TEXT:
+        block = F.slice("v", start, fitted.levels[name])
+        parts.append((F.nullif(F.array_position(block, F.lit(1.0)), F.lit(0)) - 1).alias(f"{name}_level"))
+        start += fitted.levels[name]
+    return fitted.transform(test, ["id"]).select("id", vector_to_array("features").alias("v")).select("id", *parts)
 
 
 # ---- preparation ----------------------------------------------------------------------

@@ -18,6 +18,8 @@ from hearthspark.operators import features as ft
 from hearthspark.operators import metrics as m
 from hearthspark.operators import models as md
 from hearthspark.operators import sampling as sm
+from hearthspark.operators.encode import apply_scale, assemble
+from hearthspark.operators.neighbours import smote
 from hearthspark.plans.prepare import ready_table
 from hearthspark.session import materialize
 from hearthspark.sources.survey import LABEL, LEAKY, Survey
@@ -52,6 +54,16 @@ def stacked(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def fit_on_smote(rows: DataFrame, estimator: Estimator, names: Sequence[str], label: str = LABEL, key: str = "id",
+                 seed: int = 42, threshold: float = 0.5, op: str = ">") -> md.Scorer:
+    """Scale, oversample the minority in the scaled space, fit; new tables are scaled the same way."""
+    inputs = md.fit_inputs(rows, names, label, threshold=threshold, op=op)
+    scaled = apply_scale(rows.select(key, label, *names), inputs.scale)
+    balanced = materialize(smote(scaled, key, label, names, seed=seed))
+    ready = assemble(balanced, names, keep=[label]).withColumn(label, F.col(label).cast("double"))
+    return replace(inputs, model=estimator.copy({estimator.labelCol: label}).fit(ready))
+
+
 # ---- cross-validation -------------------------------------------------------------
 
 @dataclass(frozen=True)
