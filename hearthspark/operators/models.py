@@ -29,6 +29,7 @@ from hearthspark.operators.encode import fit_scale
 from hearthspark.operators.impute import apply_fill, fit_median
 from hearthspark.operators.metrics import apply_cutoff
 from hearthspark.operators.sampling import with_weights
+from hearthspark.session import fresh_path
 from hearthspark.sources.survey import LABEL
 
 # Settings of the published runs.
@@ -163,6 +164,22 @@ def feature_importance(scorer: Scorer, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def split_importance(scorer: Scorer, spark: SparkSession) -> DataFrame:
+    """(feature, splits, mean_gain) over all nodes of all trees, features never split on included.
+
+    Counted from the node table that saving a tree model writes.
+    """
+    path = fresh_path(spark, "nodes")
+    scorer.model.write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("nodeData.*").filter("leftChild >= 0")
+    per_feature = nodes.groupBy(F.col("split.featureIndex").alias("position")).agg(
+        F.count(F.lit(1)).alias("splits"), F.avg("gain").alias("mean_gain"))
+    names = spark.createDataFrame(list(enumerate(scorer.names)), "position int, feature string")
+    return names.join(per_feature, "position", "left").select(
+        "feature", F.coalesce("splits", F.lit(0).cast("long")).alias("splits"),
+        F.coalesce("mean_gain", F.lit(0.0)).alias("mean_gain")).orderBy(F.desc("splits"), "feature")
+
+
 def in_parallel(tasks: Sequence[Callable[[], object]], width: int = 4) -> list[object]:
     """Run independent fits side by side; each is a Spark job of its own."""
     with ThreadPoolExecutor(max_workers=width) as pool:

@@ -45,6 +45,12 @@ def feature_importance(s: Survey) -> DataFrame:
     return md.feature_importance(scorer, s.spark)
 
 
+@query()
+def split_importance(s: Survey) -> DataFrame:
+    train, _, names = tr.modelling_tables(s)
+    return md.split_importance(_boost(names, depth=4, rounds=5)(train), s.spark)
+
+
 @query()
 def rf_cross_validate(s: Survey) -> DataFrame:
     train, _, names = tr.modelling_tables(s)

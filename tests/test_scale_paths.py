@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearthspark.operators import joins as j
+from hearthspark.operators import metrics as m
 from hearthspark.operators import models as md
 from hearthspark.operators import neighbours as nb
 from hearthspark.operators import ordering as o
@@ -165,6 +166,15 @@ def test_scorer_survives_saving(spark, survey):
     assert ours == theirs and len(ours) == survey.test.count()
 
 
+def test_fit_on_smote_scales_before_it_oversamples(spark):
+    source = random.Random(8)
+    rows = [(i, int(i % 6 == 0), source.gauss(3.0 * (i % 6 == 0), 1.0), 1000 * source.random()) for i in range(240)]
+    df = spark.createDataFrame(rows, "id long, Pobre int, a double, b double")
+    scorer = tr.fit_on_smote(df, md.elastic_logistic(0.0, 0.01), ["a", "b"])
+    assert m.roc_auc(scorer.score(df, ["id", "Pobre"]), "Pobre").first()["auc"] > 0.9
+    assert scorer.scale["b"][1] > 100
+
+
 def test_forest_beats_the_majority_and_best_fold_is_kept(spark):
     source = random.Random(4)
     rows = [(i, int(i % 4 == 0), source.gauss(3.0 * (i % 4 == 0), 1.0), source.random()) for i in range(800)]
@@ -189,6 +199,9 @@ def test_stack_and_search(spark):
 
     stack = tr.fit_stack(df, [fit, lambda part: fit(part, {"depth": 3, "seed": 9})], k=3)
     assert stack.score(df, ["id", "Pobre"]).count() == 300
+    counted = {r["feature"]: r["splits"] for r in md.split_importance(fit(df), spark).collect()}
+    trees = fit(df).model.trees
+    assert sum(counted.values()) == sum((tree.numNodes - 1) // 2 for tree in trees) and counted["a"] > 0
     assert 0 < tr.tune_threshold(stack.score(df, ["id", "Pobre"])) < 1
     results, best = tr.random_search(df, fit, {"rounds": (2, 4), "depth": [2, 3], "threshold": (0.4, 0.6)}, runs=3)
     assert results.count() == 3 and set(best) == {"rounds", "depth", "threshold"}
