@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthspark.functions.pvalues import kolmogorov_p, student_p
-from hearthspark.operators.ordering import running_totals
 from hearthspark.operators.joins import lookup
+from hearthspark.operators.ordering import running_totals
 from hearthspark.operators.profile import describe, long_form
+from hearthspark.session import materialize
 
 
 def _long(first: DataFrame, second: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -23,11 +24,11 @@ def _long(first: DataFrame, second: DataFrame, names: Sequence[str]) -> DataFram
 
 def kolmogorov_smirnov(first: DataFrame, second: DataFrame, names: Sequence[str]) -> DataFrame:
     """Largest distance of the two distribution functions and its p, per variable."""
-    counts = _long(first, second, names).groupBy("variable", "value").agg(
+    counts = materialize(_long(first, second, names).groupBy("variable", "value").agg(
         F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b")
-    )
-    ordered = running_totals(counts, "value", ["a", "b"], by=["variable"])
-    sizes = ordered.groupBy("variable").agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
+    ))
+    ordered = running_totals(counts, "value", ["a", "b"], by=["variable"], written=True)
+    sizes = counts.groupBy("variable").agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
     shares = lookup(ordered, sizes, ["variable"]).filter("n_a > 0 and n_b > 0")
     gap = F.abs((F.col("a_before") + F.col("a")) / F.col("n_a") - (F.col("b_before") + F.col("b")) / F.col("n_b"))
     widest = shares.groupBy("variable").agg(F.max(gap).alias("d"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hearthspark.operators.columns import numeric_names
 from hearthspark.operators.joins import lookup
 from hearthspark.operators.ordering import running_totals
+from hearthspark.session import materialize
 
 
 def value_counts(df: DataFrame, names: Sequence[str], kind: str) -> DataFrame:
@@ -21,9 +22,9 @@ def value_counts(df: DataFrame, names: Sequence[str], kind: str) -> DataFrame:
 
 def medians(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Exact median per variable as a table, by rank over the distinct values."""
-    counts = running_totals(value_counts(df, names, "double"), "value", ["n"], by=["variable"])
+    counts = materialize(value_counts(df, names, "double"))
     totals = counts.groupBy("variable").agg(F.sum("n").alias("_all"))
-    ranked = lookup(counts, totals, ["variable"])
+    ranked = lookup(running_totals(counts, "value", ["n"], by=["variable"], written=True), totals, ["variable"])
 
     def at(rank):
         inside = (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from hearthspark.functions.nulls import or_zero, safe_ratio
 from hearthspark.operators.ordering import rank_among, running_totals
+from hearthspark.session import materialize
 
 # Fixed value: keeps the F1 of the curve defined where precision and recall are both 0.
 CURVE_EPSILON = 1e-8
@@ -158,8 +159,9 @@ def best_threshold(table: DataFrame, digits: int | None = None) -> DataFrame:
 def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "score",
                            positive: object = 1) -> DataFrame:
     """(threshold, precision, recall, f1) with every distinct score as ``>=`` cut-off."""
-    ordered = running_totals(score_counts(df, label, score, positive), "score", ["pos", "neg"])
-    totals = ordered.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).first()
+    counts = materialize(score_counts(df, label, score, positive))
+    ordered = running_totals(counts, "score", ["pos", "neg"], written=True)
+    totals = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).first()
     positives, negatives = F.lit(totals["pos"] or 0), F.lit(totals["neg"] or 0)
     hits = positives - F.col("pos_before")
     predicted = hits + negatives - F.col("neg_before")

@@ -182,5 +182,6 @@ def split_importance(scorer: Scorer, spark: SparkSession) -> DataFrame:
 
 def in_parallel(tasks: Sequence[Callable[[], object]], width: int = 4) -> list[object]:
     """Run independent fits side by side; each is a Spark job of its own."""
+    session = SparkSession.getActiveSession()
     with ThreadPoolExecutor(max_workers=width) as pool:
-        return list(pool.map(lambda task: inheritable_thread_target(task)(), tasks))
+        return list(pool.map(lambda task: inheritable_thread_target(session)(task)(), tasks))

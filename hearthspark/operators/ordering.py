@@ -117,16 +117,18 @@ def rank_among(cuts: Sequence[float], passed: Callable[[float], Column], start:
 
 
 def running_totals(df: DataFrame, value: str, measures: Sequence[str], by: Sequence[str] = (),
-                   buckets: int = 64) -> DataFrame:
+                   buckets: int = 64, written: bool = False) -> DataFrame:
     """Totals of ``measures`` over smaller values, as ``<measure>_before``.
 
     ``df`` holds one row per (group, value) and is written once, as it is read
     for the bucket edges, the bucket totals and the rows. Quantiles cut the values of each
     group into even buckets; buckets are summed in parallel and a table of
-    bucket totals supplies what lies before each of them.
+    bucket totals supplies what lies before each of them. ``written`` says that
+    ``df`` already is a written table.
     """
     group = list(by)
-    df = materialize(df)
+    if not written:
+        df = materialize(df)
     points = [i / buckets for i in range(1, buckets)]
     quantiles = F.percentile_approx(value, points, F.lit(1000)).alias("_edges")
     if group:
