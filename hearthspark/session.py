@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,12 +24,36 @@ SQL_SETTINGS = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session someone else created."""
+    """Apply the runtime settings to a session someone else created, and give its executors this package."""
     for name, value in SQL_SETTINGS.items():
         spark.conf.set(name, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors once for each application, as ``--py-files`` would.
+
+    Functions that run in tasks are found by module name there, whatever folder
+    the driver was started from.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_hearthspark_sent", None):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # The driver's file server reads it for as long as executors may start.
+    folder = tempfile.TemporaryDirectory(prefix="hearthspark-ship-")
+    packed = os.path.join(folder.name, "hearthspark_package.zip")
+    with zipfile.ZipFile(packed, "w") as archive:
+        for path, _, names in sorted(os.walk(os.path.join(root, "hearthspark"))):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    whole = os.path.join(path, name)
+                    archive.write(whole, os.path.relpath(whole, root))
+    context.addPyFile(packed)
+    context._hearthspark_sent = folder
+
+
 def local_session(cpus: int | str = 8, memory: str = "12g", name: str = "hearthspark") -> SparkSession:
     """A session for tests and the bench on one machine."""
     builder = (
