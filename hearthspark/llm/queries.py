@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthspark.llm import html, linededup, packing, tokens
+from hearthspark.llm import decontaminate, html, licenses, linededup, packing, simhash, tokens
 from hearthspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,10 +25,23 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans", "items", "near_items")
+
+
 QUERIES: dict[str, Query] = {
     name: f for name, f in globals().items() if name.startswith("op") and callable(f)
 }
@@ -53,4 +66,43 @@ select doc_id, count(*) as n_lines, cast(sum(cast(dropped as int)) as bigint) as
 from marked group by doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL}
+DECONTAMINATION_SQL = r"""
+with doc_words as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+    from documents
+), item_words as (
+    select item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+    from benchmark where text is not null and item_id is not null
+), item_starts as (
+    select item_id, words, least(13, len(words)) as size,
+           unnest(range(1, greatest(1, len(words) - 12) + 1)) as start
+    from item_words where len(words) > 0
+), windows as (
+    select distinct item_id, size, array_to_string(words[start:start + size - 1], ' ') as body from item_starts
+), sizes as (
+    select distinct size from windows
+), doc_starts as (
+    select doc_id, words, size, unnest(range(1, len(words) - size + 2)) as start from doc_words cross join sizes
+    where len(words) >= size
+), found as (
+    select d.doc_id, d.start, d.size, w.item_id
+    from (select doc_id, start, size, array_to_string(words[start:start + size - 1], ' ') as body from doc_starts) d
+    join windows w on w.size = d.size and w.body = d.body
+), hit as (
+    select doc_id, count(distinct place) as n_hit
+    from (select doc_id, unnest(range(start, start + size)) as place from found) group by doc_id
+), named as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id
+)
+select d.doc_id, len(d.words) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(n.n_items, 0) as n_items,
+       sha256(coalesce(n.items, '')) as items_sha256,
+       coalesce(h.n_hit, 0) > 0 and 20 * coalesce(h.n_hit, 0) >= len(d.words) as contaminated
+from doc_words d left join hit h using (doc_id) left join named n using (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL, "op9_decontamination": DECONTAMINATION_SQL}
