@@ -359,3 +359,12 @@ def covered(spans: Sequence[dict[str, int]]) -> int:
         total += max(0, span["end"] - start)
         reached = max(reached, span["end"])
     return total
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that aren't contaminated. What is decided of a text holds for all rows with it."""
+    digest = F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.xxhash64(F.lit(1), F.coalesce(F.col(text), F.lit("")))
+    keyed = docs.withColumn("text key", F.struct(*[x.alias(name) for x, name in zip(digest, ("a", "b"), strict=True)]))
+    found = find_contamination(keyed, benchmark, text, key="text key")
+    bad = found.where("contaminated").select("text key").distinct()
+    return keyed.join(bad, "text key", "left_anti").select(*docs.columns)

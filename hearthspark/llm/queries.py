@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearthspark.llm import decontaminate, html, licenses, linededup, packing, simhash, tokens
+from hearthspark.llm import (
+    decontaminate, html, langid, licenses, linededup, neighbours, packing, quality, simhash, tokens,
+)
 from hearthspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,14 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -42,6 +52,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans", "items", "near_items")
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     name: f for name, f in globals().items() if name.startswith("op") and callable(f)
 }

@@ -191,3 +191,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", tile: int = TILE) -> Da
     smallest = owned.groupBy("component").agg(F.min("first").alias("component_id"))
     by_bits = Stage(owned.join(smallest, "component").select("bits", "component_id"), "components").df
     return marked.join(by_bits, "bits").select("doc_id", "fingerprint", "component_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that with the smallest doc_id.
+
+    A row without a doc_id stays only where no row of its group has one; of
+    several such rows, and of rows with the same doc_id, one stays.
+    """
+    stand_in = F.lit(1 << 62) + F.pmod(F.xxhash64(text), F.lit(1 << 61))
+    keyed = docs.withColumn("near key", F.coalesce(F.col("doc_id").cast("long"), stand_in))
+    groups = near_duplicates(keyed.select(F.col("near key").alias("doc_id"), F.col(text).alias("text")))
+    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("near key"))
+    return keyed.join(first, "near key", "left_semi").dropDuplicates(["near key"]).select(*docs.columns)
