@@ -197,3 +197,11 @@ def dedup_lines(docs: DataFrame, least: int = MIN_CHARS, batches: int = BATCHES)
     return append(joined, make, fields, ["text", "dropped keys"], keep, measure="text")
 
 
+
+
+def keep_lines(docs: DataFrame, least: int = MIN_CHARS, batches: int = BATCHES) -> DataFrame:
+    """``docs`` with the lines kept in ``text`` and, where there is such a column, their code points in ``n_chars``."""
+    kept = dedup_lines(docs, least, batches)
+    if "n_chars" in docs.columns:
+        kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.select(*docs.columns)
