@@ -109,5 +109,7 @@ def pack(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
     if most < 1 or most & (most - 1):
         raise ValueError(f"sequences of {most} tokens have no binary pieces")
     pieces = document_pieces(docs, keep, text, tokenizer, most, end_id)
+    # Ranges are found from a sample of their input: without a written copy the texts would be encoded twice.
+    pieces = Stage(pieces, "pieces").df
     bucket = [F.desc("length"), *[F.asc(f"`{name}`") for name in keep], F.asc("start"), F.asc("ids_crc32")]
     return numbered(pieces, bucket, "sequence_id").withColumn("offset", F.lit(0).cast("long"))
