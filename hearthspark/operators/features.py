@@ -24,7 +24,7 @@ from hearthspark.functions.nulls import (
     share_of_known,
 )
 
-# Answer codes of the survey questionnaire.
+# Answer codes of the survey questionnaire. Other answers are counted too, only less directly.
 ACTIVITY_CODES = (1, 2, 3, 4, 5, 6)
 INSURANCE_CODES = (1, 2, 3, 9)
 WORKING, SEEKING = 1, 2
@@ -47,6 +47,8 @@ class Feature:
     finish: Callable[[], Column] | None = None
     # Value for a household that has no person rows; None leaves NULL.
     absent: object = field(default=None)
+    # By stem an answer and the codes that ``parts`` counts; any other answer is counted beside them.
+    answers: Callable[[], dict[str, tuple[Column, Sequence[int]]]] = dict
 
     def value(self) -> Column:
         return self.finish() if self.finish else F.col(self.name)
@@ -55,12 +57,31 @@ class Feature:
 def build_features(persons: DataFrame, features: Iterable[Feature], key: str = "id") -> DataFrame:
     chosen = list(features)
     parts: dict[str, Column] = {}
+    answers: dict[str, tuple[Column, Sequence[int]]] = {}
     for feature in chosen:
         parts.update(feature.parts())
+        answers.update(feature.answers())
     grouped = persons.groupBy(key).agg(*[column.alias(name) for name, column in parts.items()])
+    if answers:
+        grouped = grouped.join(unlisted_counts(persons, answers, key), F.col(key).eqNullSafe(F.col("_key")), "left")
     return grouped.select(key, *[feature.value().alias(feature.name) for feature in chosen])
 
 
+def unlisted_counts(persons: DataFrame, answers: dict[str, tuple[Column, Sequence[int]]], key: str) -> DataFrame:
+    """Per household an array of (stem, code, n) over the answers outside the code lists.
+
+    Counted per (household, answer) first, so that a household is no more rows
+    than it has different answers. Usually there are none, and the join with
+    an empty side is dropped while it runs.
+    """
+    entries = [F.when(answer.isNotNull() & ~answer.isin(*codes), F.struct(
+        F.lit(stem).alias("stem"), answer.cast("long").alias("code"))) for stem, (answer, codes) in answers.items()]
+    odd = persons.select(F.col(key).alias("_key"), F.explode(F.array_compact(F.array(*entries))).alias("_entry"))
+    counted = odd.groupBy("_key", "_entry").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("_key").agg(
+        F.collect_list(F.struct("_entry.stem", "_entry.code", "n")).alias("_unlisted"))
+
+
 def single(name: str, make: Callable[[], Column], absent: object = None) -> Feature:
     return Feature(name, lambda: {name: make()}, None, absent)
 
@@ -76,15 +97,13 @@ def _code_counts(column: str, codes: Sequence[int], where: Callable[[], Column]
                  prefix: str | None = None) -> dict[str, Column]:
     stem = prefix or column
     answer = F.col(column) if where is None else F.when(where(), F.col(column))
-    counts = {f"{stem}_{code}": F.count_if(answer == code) for code in codes}
-    counts[f"{stem}_unlisted"] = F.count_if(answer.isNotNull() & ~answer.isin(*codes))
-    return counts
+    return {f"{stem}_{code}": F.count_if(answer == code) for code in codes}
 
 
-def _only_listed(stem: str, value: Column, kind: str) -> Column:
-    """Fail loudly, never miscount, when an answer is outside the code list."""
-    complaint = F.raise_error(F.lit(f"{stem}: answer outside the code list; pass its codes")).cast(kind)
-    return F.when(F.col(f"{stem}_unlisted") > 0, complaint).otherwise(value)
+def _unlisted(stem: str) -> Column:
+    """(code, n) of the household's answers outside the list, an empty array mostly."""
+    own = F.filter("_unlisted", lambda e: e["stem"] == stem)
+    return F.coalesce(own, F.array().cast("array<struct<stem:string,code:bigint,n:bigint>>"))
 
 
 def _most_frequent(stem: str, codes: Sequence[int]) -> Column:
@@ -92,7 +111,10 @@ def _most_frequent(stem: str, codes: Sequence[int]) -> Column:
     counts = {code: F.col(f"{stem}_{code}") for code in sorted(codes)}
     top = F.greatest(*counts.values())
     pick = F.coalesce(*[F.when((n == top) & (top > 0), F.lit(code)) for code, n in counts.items()], F.lit(0))
-    return _only_listed(stem, pick, "int")
+    listed = F.struct((-top).alias("minus"), pick.cast("long").alias("code"))
+    others = F.transform(_unlisted(stem), lambda e: F.struct((-e["n"]).alias("minus"), e["code"].alias("code")))
+    among = F.array_min(F.concat(F.array(listed), others))["code"].cast("int")
+    return F.when(F.col("_unlisted").isNull(), pick).otherwise(among)
 
 
 def _simpson(stem: str, codes: Sequence[int]) -> Column:
@@ -101,7 +123,10 @@ def _simpson(stem: str, codes: Sequence[int]) -> Column:
     total, squares = counts[0], counts[0] * counts[0]
     for n in counts[1:]:
         total, squares = total + n, squares + n * n
-    return _only_listed(stem, F.coalesce(F.lit(1.0) - F.try_divide(squares, total * total), F.lit(0.0)), "double")
+    others = F.transform(_unlisted(stem), lambda e: e["n"].cast("double"))
+    total = total + F.aggregate(others, F.lit(0.0), lambda a, n: a + n)
+    squares = squares + F.aggregate(others, F.lit(0.0), lambda a, n: a + n * n)
+    return F.coalesce(F.lit(1.0) - F.try_divide(squares, total * total), F.lit(0.0))
 
 
 def _seeking_share(stem: str) -> Column:
@@ -134,11 +159,14 @@ def activity(codes: Sequence[int] = ACTIVITY_CODES) -> list[Feature]:
     def parts() -> dict[str, Column]:
         return _code_counts(stem, codes)
 
+    def answers() -> dict[str, tuple[Column, Sequence[int]]]:
+        return {stem: (F.col(stem), codes)}
+
     return [
         Feature("P6240_someone_works", parts, lambda: (F.col(f"{stem}_{WORKING}") > 0).cast("int"), 0),
         Feature("P6240_unemployment_rate", parts, lambda: _seeking_share(stem), 0),
-        Feature("P6240_main_household_activity", parts, lambda: _most_frequent(stem, codes), 0),
-        Feature("P6240_activity_diversity", parts, lambda: _simpson(stem, codes), 0),
+        Feature("P6240_main_household_activity", parts, lambda: _most_frequent(stem, codes), 0, answers),
+        Feature("P6240_activity_diversity", parts, lambda: _simpson(stem, codes), 0, answers),
     ]
 
 
@@ -231,7 +259,8 @@ def insurance(codes: Sequence[int] = INSURANCE_CODES) -> list[Feature]:
         Feature("has_health_insurance", lambda: {"n_insured": F.count_if(insured())},
                 lambda: F.col("n_insured") > 0),
         Feature("main_insurance_type", lambda: _code_counts("P6100", codes, insured, "insured_type"),
-                lambda: _most_frequent("insured_type", codes)),
+                lambda: _most_frequent("insured_type", codes),
+                answers=lambda: {"insured_type": (F.when(insured(), F.col("P6100")), codes)}),
         single("insurance_coverage_rate", lambda: share_of_all(insured())),
     ]
 

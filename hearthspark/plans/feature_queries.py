@@ -127,6 +127,18 @@ def feat_diversity_open_domain(s: Survey) -> DataFrame:
     return rounded(ft.answer_diversity(s.persons, "P6430", "job_diversity"), "job_diversity")
 
 
+@query(with_tables("select id, cast(coalesce(min(case when n=top and a is not null then a end),0) as int) as "
+                   "P6240_main_household_activity, round(coalesce(1-sum(cast(n as double)*n)/nullif(cast(sum(n) as double)"
+                   "*cast(sum(n) as double),0),0),6) as P6240_activity_diversity from (select *, max(n) over "
+                   "(partition by id) as top from (select id, P6430 as a, count(P6430) as n from personas "
+                   "group by id, P6430)) group by id"))
+def feat_unlisted_answers(s: Survey) -> DataFrame:
+    """The activity features over answers of which many are outside the questionnaire's activity codes."""
+    answered = s.persons.withColumn("P6240", F.col("P6430"))
+    made = rounded(ft.build_features(answered, ft.activity()), "P6240_activity_diversity")
+    return made.select("id", "P6240_main_household_activity", "P6240_activity_diversity")
+
+
 @query(_grouped(SQL["subsidies"]))
 def feat_subsidies(s: Survey) -> DataFrame:
     return _features(s, ft.subsidies())
