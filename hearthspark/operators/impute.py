@@ -48,8 +48,10 @@ def fit_mean(df: DataFrame, names: Sequence[str]) -> dict[str, float]:
 
 
 def modes(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Most frequent value per variable as text; the lowest on ties, missing ignored."""
-    best = F.min_by("value", F.struct(-F.col("n"), F.col("value")))
+    """Most frequent value per variable as text; the lowest value of its type on ties, missing ignored."""
+    numeric = [name for name in names if name in set(numeric_names(df))]
+    number = F.when(F.col("variable").isin(*numeric), F.col("value").cast("double"))
+    best = F.min_by("value", F.struct(-F.col("n"), number, F.col("value")))
     return value_counts(df, names, "string").groupBy("variable").agg(best.alias("mode"))
 
 

@@ -94,7 +94,7 @@ JOB_SQL = "cast(case P6430 when 1 then 'private' when 2 then 'public' when 4 the
     (select job as m from (select {JOB_SQL} as job, count(*) as n from personas group by 1) where job is not null
       order by n desc, job limit 1),
     (select P6210 as e from (select P6210, count(*) as n from personas group by 1) where P6210 is not null
-      order by n desc, cast(P6210 as varchar) limit 1)"""))
+      order by n desc, P6210 limit 1)"""))
 def impute_mode(s: Survey) -> DataFrame:
     job = F.when(F.col("P6430") == 1, "private").when(F.col("P6430") == 2, "public").when(F.col("P6430") == 4, "own")
     rows = s.persons.select("id", job.alias("job"), "P6210")

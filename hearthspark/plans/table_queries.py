@@ -17,10 +17,17 @@ from hearthspark.sources.files import read_csv, write_csv
 from hearthspark.sources.survey import HOUSEHOLD_COLUMNS, LABEL, LEAKY, PERSON_COLUMNS, Survey
 
 TEST_COLUMNS = [n for n in HOUSEHOLD_COLUMNS if n not in (LABEL, *LEAKY, "part")]
-HOUSEHOLD_NAMES = ["id", "Clase", "Dominio", "P5000", "P5010", "P5090", "Nper", "Npersug", "Li", "Lp", "Fex_c",
+# The columns a model of the survey starts from.
+HOUSEHOLD_NAMES = ["id", "Clase", "Dominio", "P5000", "P5010", "P5090", "P5100", "P5130", "P5140", "Nper", "Npersug", "Li", "Lp", "Fex_c",
                    "Depto", "Fex_dpto", "Pobre"]
+# Training and test households together, the latter without labels.
+BOTH_SQL = ("select * from train union all select * replace (null as Pobre, null as Npobres, null as Indigente, "
+            "null as Nindigentes) from test")
 NULLABLE = [n for n in PERSON_COLUMNS if n not in ("id", "P6020", "P6040", "P6050", "Estrato1")]
 SEED = 42
+# The stated order of the persons of a household.
+ORDER_SQL = ("l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate, l_discount, l_tax, "
+             "l_returnflag, l_linestatus")
 
 
 def md5_order(alias: str = "id", seed: int = SEED) -> str:
@@ -36,6 +43,15 @@ def scan_csv_roundtrip(s: Survey) -> DataFrame:
     return read_csv(s.spark, path, s.households.schema)
 
 
+@query(with_tables("select * from hogares"))
+def scan_csv_reordered(s: Survey) -> DataFrame:
+    """Written with its columns in reverse order and one more between them, read back by name."""
+    path = fresh_path(s.spark, "households-csv")
+    names = s.households.columns[::-1]
+    write_csv(s.households.select(*names[:3], F.lit("x").alias("extra"), *names[3:]), path)
+    return read_csv(s.spark, path, s.households.schema)
+
+
 @query(with_tables("select id, Clase, Dominio, Fex_c from hogares order by id limit 10"))
 def preview_head(s: Survey) -> DataFrame:
     return o.preview(s.households.select("id", "Clase", "Dominio", "Fex_c"), 10, ["id"])
@@ -80,9 +96,10 @@ def numeric_columns(s: Survey) -> DataFrame:
     return s.train.select(*c.numeric_names(s.train))
 
 
-@query(with_tables("select * exclude (part) from hogares where Pobre is not null and part='train'"))
+@query(with_tables(f"select * exclude (part) from ({BOTH_SQL}) where Pobre is not null"))
 def filter_labeled(s: Survey) -> DataFrame:
-    return c.labeled(s.train, LABEL)
+    """The labelled rows of training and test households together; the latter have none."""
+    return c.labeled(s.train.unionByName(s.test, allowMissingColumns=True), LABEL)
 
 
 @query(with_tables("select id, P6040, P6090, P6210, P6240, P6920 from personas where P6090 is not null "
@@ -205,12 +222,18 @@ def stratum_label_share(s: Survey) -> DataFrame:
     return rounded(p.stratum_label_share(people, "Estrato1", LABEL), "share")
 
 
-@query(with_tables(f"""select 'jefe_mujer' as category, round(avg(jefe_mujer),6) as average from ({SECOND_SET_SQL})
-    union all select 'jefe_uni_female', round(avg(case when jefe_mujer=1 then jefe_uni end),6) from ({SECOND_SET_SQL})
-    union all select 'jefe_uni_male', round(avg(case when jefe_mujer=0 then jefe_uni end),6) from ({SECOND_SET_SQL})"""))
+@query(with_tables("""select 'jefe_mujer' as category, round(avg(jefe_mujer),6) as average from first_rows
+    union all select 'jefe_uni_female', round(avg(case when P6020=2 then jefe_uni end),6) from first_rows
+    union all select 'jefe_uni_male', round(avg(case when P6020=1 then jefe_uni end),6) from first_rows""",
+                   first_rows=f"""select id, P6020, jefe_mujer, jefe_uni from (select id, P6020, row_number() over (
+    partition by id order by {ORDER_SQL}) as r from personas) join ({SECOND_SET_SQL}) using (id) where r=1"""))
 def conditional_means(s: Survey) -> DataFrame:
+    """University education of heads by the sex of the household's first listed person, whose row is the kept one."""
     heads = ft.build_features(s.persons, [*ft.null_aware_2(), *ft.head_2()])
-    female, male = F.col("jefe_mujer") == 1, F.col("jefe_mujer") == 0
+    order = [n.strip() for n in ORDER_SQL.split(",")]
+    kept = o.first_row_per_key(s.ordered_persons.select("id", "P6020", *order), "id", order).select("id", "P6020")
+    heads = heads.join(kept, "id")
+    female, male = F.col("P6020") == 2, F.col("P6020") == 1
     means = {"jefe_mujer": ("jefe_mujer", None), "jefe_uni_female": ("jefe_uni", female),
              "jefe_uni_male": ("jefe_uni", male)}
     return rounded(p.conditional_means(heads, means), "average")
@@ -239,17 +262,13 @@ def nested_proportions(s: Survey) -> DataFrame:
 
 
 @query(with_tables("select count(distinct Pobre) as n_labels, cast(max(case when Pobre is null then 1 else 0 end) "
-                   "as int) as has_missing from hogares"))
+                   f"as int) as has_missing from ({BOTH_SQL})"))
 def distinct_labels(s: Survey) -> DataFrame:
-    return p.distinct_labels(s.households, LABEL)
+    return p.distinct_labels(s.train.unionByName(s.test, allowMissingColumns=True), LABEL)
 
 
 # ---- order ---------------------------------------------------------------------------
 
-ORDER_SQL = ("l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate, l_discount, l_tax, "
-             "l_returnflag, l_linestatus")
-
-
 @query(with_tables(f"select * exclude (r, {ORDER_SQL}) from (select *, row_number() over (partition by id order by "
                    f"{ORDER_SQL}) as r from personas) where r=1"))
 def first_row_per_key(s: Survey) -> DataFrame:

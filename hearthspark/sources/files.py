@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthspark.operators.joins import unmatched_keys
+from hearthspark.sources.schemas import HOUSEHOLDS_TEST, HOUSEHOLDS_TRAIN, PERSONS, PREDICTIONS
 
 # How the survey files write infinities and missing cells.
 CSV_FORMAT = {"header": "true", "nullValue": "", "positiveInf": "inf", "negativeInf": "-inf"}
@@ -14,19 +15,37 @@ CSV_FORMAT = {"header": "true", "nullValue": "", "positiveInf": "inf", "negative
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on whatever file system its address names."""
-    try:
-        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path) is not None
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV table with a stated schema; an absent path is reported by name."""
+    """The columns of ``schema`` from a CSV table, found by the names in its header.
+
+    Their order in the file does not matter, and other columns are not read.
+    An absent path or column is reported by name; a cell that is no value of
+    its type is missing.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no table at {path}")
-    return spark.read.options(**CSV_FORMAT).schema(schema).csv(path)
+    text = spark.read.options(**CSV_FORMAT).csv(path)
+    absent = [field.name for field in schema if field.name not in text.columns]
+    if absent:
+        raise ValueError(f"no column {', '.join(absent)} in {path}")
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+
+
+def read_persons(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, PERSONS)
+
+
+def read_households(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
+    """The training households, or with ``labelled`` off those without a label."""
+    return read_csv(spark, path, HOUSEHOLDS_TRAIN if labelled else HOUSEHOLDS_TEST)
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, PREDICTIONS)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
