@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SERIES_TERMS = 20
+RECURRENCES = 100
 
 
 def kolmogorov_p(distance: Column, n: Column, m: Column) -> Column:
@@ -32,8 +33,6 @@ def student_tail(t: float, df: float) -> float:
     """P(|T| > |t|) by integrating the density after t = sqrt(df) tan(angle)."""
     if not (math.isfinite(t) and math.isfinite(df)) or df <= 0:
         return math.nan
-    if df > 1e6:
-        return math.erfc(abs(t) / math.sqrt(2))
     start = math.atan(abs(t) / math.sqrt(df))
     nodes, weights = np.polynomial.legendre.leggauss(64)
     # The density falls off within a few multiples of 1/sqrt(df) of the start.
@@ -41,9 +40,20 @@ def student_tail(t: float, df: float) -> float:
     total = 0.0
     for low, high in zip(edges[:-1], edges[1:]):
         angle = (high - low) / 2 * nodes + (high + low) / 2
-        total += (high - low) / 2 * float(np.dot(weights, np.cos(angle) ** (df - 1)))
-    scale = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(math.pi)
-    return min(1.0, 2 * scale * total)
+        # cos(angle) ** (df - 1), exact for angles near zero and any df
+        density = np.exp((df - 1) / 2 * np.log1p(-np.sin(angle) ** 2))
+        total += (high - low) / 2 * float(np.dot(weights, density))
+    return min(1.0, 2 * gamma_ratio(df) / math.sqrt(math.pi) * total)
+
+
+def gamma_ratio(df: float) -> float:
+    """gamma((df + 1) / 2) / gamma(df / 2), by its recurrence and the series for large arguments."""
+    product = 1.0
+    for step in range(RECURRENCES):
+        product *= (df + 2 * step) / (df + 2 * step + 1)
+    top = df + 2 * RECURRENCES
+    series = 1 - 1 / (4 * top) + 1 / (32 * top**2) + 5 / (128 * top**3) - 21 / (2048 * top**4)
+    return product * math.sqrt(top / 2) * series
 
 
 def student_p(t: Column, df: Column) -> Column:

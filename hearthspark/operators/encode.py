@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from hearthspark.operators.impute import apply_fill, fit_median
 
-LEVEL_LIMIT = 1000
 MISSING = "missing"
 
 
@@ -35,12 +34,12 @@ def apply_scale(df: DataFrame, fitted: dict[str, tuple[float, float]]) -> DataFr
     })
 
 
-def fit_levels(df: DataFrame, name: str, limit: int = LEVEL_LIMIT) -> list[object]:
-    """Sorted distinct values. Beyond ``limit`` use ``fit_preprocessor``: one sparse vector."""
-    rows = df.select(name).filter(F.col(name).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{name} has more than {limit} levels; encode it as a vector column")
-    return sorted(row[0] for row in rows)
+def fit_levels(df: DataFrame, name: str) -> list[object]:
+    """Sorted distinct values, one for each column that ``onehot_columns`` then makes.
+
+    Where there are too many for columns, ``fit_preprocessor`` gives one sparse vector.
+    """
+    return sorted(row[0] for row in df.select(name).filter(F.col(name).isNotNull()).distinct().collect())
 
 
 def onehot_columns(df: DataFrame, levels: dict[str, list[object]], drop_first: bool = False) -> DataFrame:

@@ -9,16 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOOKUP_LIMIT = 100_000
+LOOKUP_BYTES = 32 << 20
 
 
 def settle(table: DataFrame, limit: int = LOOKUP_LIMIT) -> DataFrame | None:
-    """The same rows as a local table if there are at most ``limit``, else None.
+    """The same rows as a local table if there are at most ``limit`` of LOOKUP_BYTES at most, else None.
 
     At most ``limit + 1`` rows reach the driver. A local table has a size
     Spark knows exactly, and using it twice does not compute it twice.
     """
     rows = table.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
+    if rows.num_rows > limit or rows.nbytes > LOOKUP_BYTES:
         return None
     return table.sparkSession.createDataFrame(rows, schema=table.schema)
 

@@ -17,6 +17,9 @@ from hearthspark.session import materialize
 
 # Sixteen to the power of this many buckets per group.
 DRAW_DIGITS = 4
+# Values, or rows, that one bucket holds about; there are FEW_BUCKETS at least.
+BUCKET_ROWS = 1_000_000
+FEW_BUCKETS = 64
 
 
 def preview(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
@@ -41,19 +44,29 @@ def _before(by: Sequence[str], order: str):
     return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def bucket_digits(rows: int, least: int = 3) -> int:
+    """Hexadecimal digits that make buckets of about BUCKET_ROWS rows."""
+    digits = least
+    while rows > BUCKET_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
 def row_numbers(df: DataFrame, name: str, key: str | Sequence[str], by: Sequence[str] = (), seed: int = 42,
-                digits: int = 3) -> DataFrame:
-    """1, 2, 3, ... in each group, in the order of the hashed key.
+                digits: int | None = None, tie: Sequence[str] = ()) -> DataFrame:
+    """1, 2, 3, ... in each group, in the order of the hashed key, then of ``tie``.
 
     Rows are numbered inside (group, leading digits of the draw), which is
-    evenly filled however large a group is; bucket totals give the offset.
+    evenly filled however large a group is; bucket totals give the offset. The
+    number of digits follows the number of rows.
     """
     group = list(by)
+    digits = digits or bucket_digits(df.count())
     marked = df.withColumn("_draw", draw(key, seed)).withColumn("_bucket", F.substring("_draw", 1, digits))
     totals = marked.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     offsets = totals.select(
         *group, "_bucket", F.coalesce(F.sum("_n").over(_before(group, "_bucket")), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*group, "_bucket").orderBy("_draw")
+    inside = Window.partitionBy(*group, "_bucket").orderBy("_draw", *tie)
     ranked = marked.withColumn("_rank", F.row_number().over(inside))
     joined = lookup(ranked, offsets, [*group, "_bucket"])
     return joined.select(*df.columns, (F.col("_rank") + F.col("_offset")).cast("long").alias(name))
@@ -117,20 +130,22 @@ def rank_among(cuts: Sequence[float], passed: Callable[[float], Column], start:
 
 
 def running_totals(df: DataFrame, value: str, measures: Sequence[str], by: Sequence[str] = (),
-                   buckets: int = 64, written: bool = False) -> DataFrame:
+                   buckets: int | None = None, written: bool = False) -> DataFrame:
     """Totals of ``measures`` over smaller values, as ``<measure>_before``.
 
     ``df`` holds one row per (group, value) and is written once, as it is read
     for the bucket edges, the bucket totals and the rows. Quantiles cut the values of each
     group into even buckets; buckets are summed in parallel and a table of
-    bucket totals supplies what lies before each of them. ``written`` says that
-    ``df`` already is a written table.
+    bucket totals supplies what lies before each of them. Their number follows
+    the number of values. ``written`` says that ``df`` already is a written
+    table.
     """
     group = list(by)
     if not written:
         df = materialize(df)
+    buckets = buckets or max(FEW_BUCKETS, -(-df.count() // BUCKET_ROWS))
     points = [i / buckets for i in range(1, buckets)]
-    quantiles = F.percentile_approx(value, points, F.lit(1000)).alias("_edges")
+    quantiles = F.percentile_approx(value, points, F.lit(16 * buckets)).alias("_edges")
     if group:
         edged = lookup(df, df.groupBy(*group).agg(quantiles), group)
         below = F.filter("_edges", lambda edge: edge < F.col(value))

@@ -16,8 +16,6 @@ from hearthspark.operators.joins import lookup
 from hearthspark.operators.ordering import segments
 from hearthspark.operators.profile import class_distribution, share_within
 
-CLASS_LIMIT = 1000
-
 
 def _parts(df: DataFrame, name: str, first: str, second: str) -> DataFrame:
     return df.withColumn(name, F.when(F.col(name) == 0, F.lit(first)).otherwise(F.lit(second)))
@@ -56,16 +54,22 @@ def folds(df: DataFrame, key: str, k: int, stratify: str | None = None, seed: in
     return segments(df, name, key, cuts, by=[stratify] if stratify else [], seed=seed)
 
 
-def class_sizes(df: DataFrame, label: str) -> dict[object, int]:
-    rows = class_distribution(df.filter(F.col(label).isNotNull()), label).limit(CLASS_LIMIT + 1).collect()
-    if len(rows) > CLASS_LIMIT:
-        raise ValueError(f"{label} has more than {CLASS_LIMIT} values; it is not a class label")
+def class_sizes(df: DataFrame, label: str) -> DataFrame:
+    """(label, n) of the classes; rows without a label belong to none."""
+    return class_distribution(df.filter(F.col(label).isNotNull()), label)
+
+
+def two_classes(df: DataFrame, label: str) -> dict[object, int]:
+    """The sizes of two classes; any other number of them is an error."""
+    rows = class_sizes(df, label).limit(3).collect()
+    if len(rows) != 2:
+        raise ValueError(f"{label} doesn't have two classes")
     return {row[label]: row["n"] for row in rows}
 
 
 def undersample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
     """Every class cut to the size of the smallest; rows without a label leave."""
-    smallest = min(class_sizes(df, label).values())
+    smallest = class_sizes(df, label).agg(F.min("n").alias("n")).first()["n"] or 0
     known = df.filter(F.col(label).isNotNull())
     cut = segments(known, "_segment", key, lambda n: [F.lit(smallest)], by=[label], seed=seed)
     return cut.filter("_segment = 0").drop("_segment")
@@ -74,11 +78,11 @@ def undersample(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFram
 def class_weights(df: DataFrame, label: str, boost: dict[object, float] | None = None) -> DataFrame:
     """Per class: rows, and the balanced weight rows / (classes * rows of the class)."""
     sizes = class_sizes(df, label)
-    total, k = sum(sizes.values()), len(sizes)
-    weight = F.lit(float(total)) / (F.lit(k) * F.col("n"))
+    whole = sizes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    weight = F.lit(float(whole["n"] or 0)) / (F.lit(whole["k"]) * F.col("n"))
     for value, factor in (boost or {}).items():
         weight = F.when(F.col(label) == value, weight * factor).otherwise(weight)
-    return class_distribution(df.filter(F.col(label).isNotNull()), label).withColumn("weight", weight)
+    return sizes.withColumn("weight", weight)
 
 
 def positive_ratio(weights: DataFrame, label: str, positive: object = 1) -> float:

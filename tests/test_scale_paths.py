@@ -227,6 +227,11 @@ def test_files(spark):
     df.selectExpr("id", "case when x = double('inf') then 'inf' else cast(x as string) end as x", "y").write.option(
         "header", "true").csv(path)
     assert sorted(map(str, files.read_csv(spark, path, df.schema).collect())) == spark_rows
+    turned = df.schema.__class__(df.schema.fields[::-1])
+    assert sorted(str(r.asDict()) for r in files.read_csv(spark, path, turned).select(*df.columns).collect()) == sorted(
+        str(r.asDict()) for r in df.collect())
+    with pytest.raises(ValueError, match="no column absent"):
+        files.read_csv(spark, path, df.schema.__class__(df.schema.fields[:1]).add("absent", "integer"))
     households = spark.createDataFrame([("a",), ("b",)], "id string")
     scored = spark.createDataFrame([("a", 1), ("b", 0)], "id string, prediction int")
     back = files.export_predictions(scored, households, fresh_path(spark, "predictions-test"))
@@ -234,3 +239,15 @@ def test_files(spark):
     with pytest.raises(ValueError, match="differ"):
         files.export_predictions(scored.limit(1), households, fresh_path(spark, "predictions-test"))
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_rows_without_a_usable_vector_are_set_aside(spark):
+    clean = [(i, [float(i), float(i * i % 7)]) for i in range(60)]
+    odd = [(100, [float("nan"), 0.0]), (101, [None, 0.0]), (102, [float("inf"), 0.0]), (103, None)]
+    table = spark.createDataFrame(clean + odd, "id long, vec array<double>")
+    found = sorted(map(tuple, nb.nearest(table, "id", "vec", 5).collect()))
+    alone = sorted(map(tuple, nb.nearest(spark.createDataFrame(clean, table.schema), "id", "vec", 5).collect()))
+    assert found == alone and len(found) == 300
+    assert {r["usable"]: r["n"] for r in nb.set_aside(table, "vec").collect()} == {True: 60, False: 4}
+    made = nb.synthetic_points(table, "id", "vec", 100).collect()
+    assert len(made) == 100 and {r["base"] for r in made} <= set(range(60))
