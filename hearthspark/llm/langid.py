@@ -248,7 +248,8 @@ def label_languages(docs: DataFrame, model: Model, keep: Sequence[str] | None =
     share of all letters. A null text, or one without a letter, is ``und``
     with score 0. A letter of a script that no learned language uses counts
     for none; a text of such letters only gets the commonest language, with
-    score 0. Spans are [start, end) in words.
+    score 0. Without a learned language every text is ``und``. Spans are
+    [start, end) in words.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -257,18 +258,17 @@ def label_languages(docs: DataFrame, model: Model, keep: Sequence[str] | None =
             own = sent.value
             words = Words.of([x.decode("utf-8", "replace") for x in texts(column)])
             docs_here, states = len(column), len(own.languages)
-            some = np.unique(words.doc, return_index=True)
-            path = viterbi(own.emissions(words), some[1]) if states else np.zeros(len(words.doc), dtype=np.int64)
-            known = words.size * own.allowed[words.script].any(axis=1) if states else words.size
-            letters = np.bincount(words.doc * states + path, weights=known, minlength=docs_here * states
-                                  ).reshape(docs_here, states)
-            every = np.bincount(words.doc, weights=words.size, minlength=docs_here)
+            path = np.zeros(len(words.doc), dtype=np.int64)
+            score, names = np.zeros(docs_here), [UNKNOWN] * docs_here
             if states:
+                path = viterbi(own.emissions(words), np.unique(words.doc, return_index=True)[1])
+                known = words.size * own.allowed[words.script].any(axis=1)
+                letters = np.bincount(words.doc * states + path, weights=known, minlength=docs_here * states
+                                      ).reshape(docs_here, states)
+                every = np.bincount(words.doc, weights=words.size, minlength=docs_here)
                 chosen = np.where(letters.any(axis=1), letters.argmax(axis=1), own.prior.argmax())
                 score = np.where(every > 0, letters[np.arange(docs_here), chosen] / np.maximum(every, 1), 0.0)
                 names = [own.languages[c] if n else UNKNOWN for c, n in zip(chosen, every, strict=True)]
-            else:
-                score, names = np.zeros(docs_here), [UNKNOWN] * docs_here
             made = [pa.array(names, pa.string()), pa.array(score, pa.float64())]
             if spans:
                 made.append(span_lists(words.doc, path, own.languages, docs_here))
