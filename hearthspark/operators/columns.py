@@ -121,3 +121,11 @@ def replace_infinite(df: DataFrame, names: Sequence[str], value: float | None =
 def per_column(df: DataFrame, names: Sequence[str], make: Callable[[str], Column]) -> DataFrame:
     """Apply one expression builder to several columns, leaving the rest alone."""
     return df.withColumns({name: make(name) for name in names})
+
+
+def recode(df: DataFrame, name: str, labels: dict[object, str], to: str) -> DataFrame:
+    """A column of the labels of a column's codes; a code without a label is missing."""
+    code = F.lit(None).cast("string")
+    for value, label in reversed(labels.items()):
+        code = F.when(F.col(name) == F.lit(value), F.lit(label)).otherwise(code)
+    return df.withColumn(to, code)

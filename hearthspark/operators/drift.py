@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hearthspark.functions.pvalues import kolmogorov_p, student_p
 from hearthspark.operators.joins import lookup
 from hearthspark.operators.ordering import running_totals
-from hearthspark.operators.profile import describe, long_form
+from hearthspark.operators.profile import long_form
 from hearthspark.session import materialize
 
 
@@ -35,34 +35,63 @@ def kolmogorov_smirnov(first: DataFrame, second: DataFrame, names: Sequence[str]
     return widest.withColumn("p_value", kolmogorov_p(F.col("d"), F.col("n_a"), F.col("n_b")))
 
 
-def welch_t(first: DataFrame, second: DataFrame, names: Sequence[str], with_p: bool = True) -> DataFrame:
-    """Unequal-variance t, degrees of freedom and p, per variable."""
-    def moments(df: DataFrame, side: str) -> DataFrame:
-        parts = []
-        for n in names:
-            value = F.col(n).cast("double")
-            parts += [F.count(n).alias(f"{n}_n"), F.avg(value).alias(f"{n}_m"), F.var_samp(value).alias(f"{n}_v")]
-        return long_form(df.agg(*parts), {
-            n: {f"n_{side}": F.col(f"{n}_n"), f"m_{side}": F.col(f"{n}_m"), f"v_{side}": F.col(f"{n}_v")} for n in names
-        })
-
-    both = moments(first, "a").join(moments(second, "b"), "variable")
+def _sides(first: DataFrame, second: DataFrame, names: Sequence[str]) -> DataFrame:
+    def side(df: DataFrame, mark: str) -> DataFrame:
+        return df.select(F.lit(mark).alias("_side"), *[F.col(n).cast("double").alias(n) for n in names])
+
+    return side(first, "a").unionByName(side(second, "b"))
+
+
+def _moments(rows: DataFrame, part: str, names: Sequence[str], sides: dict[str, str]) -> DataFrame:
+    """Per variable rows, n, mean and sample variance of each part, as rows_a, n_a, m_a, v_a and so on.
+
+    One grouped pass gives one row for each part, and all else follows from
+    those rows. ``sides`` maps a suffix to a value of ``part``.
+    """
+    parts = [F.count(F.lit(1)).alias("_rows")]
+    for n in names:
+        value = F.col(n).cast("double")
+        parts += [F.count(n).alias(f"{n}_n"), F.avg(value).alias(f"{n}_m"), F.var_samp(value).alias(f"{n}_v")]
+    grouped = rows.groupBy(F.col(part).alias("_part")).agg(*parts)
+    wide = grouped.agg(*[
+        F.max(F.when(F.col("_part") == value, F.col(name))).alias(f"{name}_{side}")
+        for side, value in sides.items() for name in grouped.columns[1:]])
+    return long_form(wide, {n: {f"{stat}_{side}": F.col(f"_rows_{side}" if stat == "rows" else f"{n}_{stat}_{side}")
+                                for side in sides for stat in ("rows", "n", "m", "v")} for n in names})
+
+
+def _welch(both: DataFrame) -> DataFrame:
+    """t and df beside the moments."""
     ea, eb = F.try_divide("v_a", "n_a"), F.try_divide("v_b", "n_b")
     spread = ea + eb
     t = F.try_divide(F.col("m_a") - F.col("m_b"), F.sqrt(spread))
     df = F.try_divide(spread * spread,
                       F.try_divide(ea * ea, F.col("n_a") - 1) + F.try_divide(eb * eb, F.col("n_b") - 1))
-    result = both.select("variable", t.alias("t"), df.alias("df"))
+    return both.withColumns({"t": t, "df": df})
+
+
+def welch_t(first: DataFrame, second: DataFrame, names: Sequence[str], with_p: bool = True) -> DataFrame:
+    """Unequal-variance t, degrees of freedom and p, per variable."""
+    both = _moments(_sides(first, second, names), "_side", names, {"a": "a", "b": "b"})
+    result = _welch(both).select("variable", "t", "df")
     return result.withColumn("p_value", student_p(F.col("t"), F.col("df"))) if with_p else result
 
 
+def compare_parts(rows: DataFrame, part: str, names: Sequence[str], first: str = "train", second: str = "test",
+                  digits: int = 2) -> DataFrame:
+    """Non-missing %, mean and sd of two parts of a table side by side with the t-test p, from one grouped pass."""
+    both = _welch(_moments(rows, part, names, {"a": first, "b": second}))
+    shown = [column for side, name in (("a", first), ("b", second)) for column in (
+        F.try_divide(F.col(f"n_{side}") * F.lit(100.0), F.col(f"rows_{side}")).alias(f"pct_present_{name}"),
+        F.bround(f"m_{side}", digits).alias(f"mean_{name}"), F.bround(F.sqrt(f"v_{side}"), digits).alias(f"sd_{name}"))]
+    return both.select("variable", *shown, F.round(student_p(F.col("t"), F.col("df")), 3).alias("p_value"))
+
+
 def compare_tables(first: DataFrame, second: DataFrame, names: Sequence[str], first_name: str = "train",
                    second_name: str = "test") -> DataFrame:
-    """Non-missing %, mean and sd of both tables side by side with the t-test p."""
-    left = describe(first, names, suffix=f"_{first_name}")
-    right = describe(second, names, suffix=f"_{second_name}")
-    p = welch_t(first, second, names).select("variable", F.round("p_value", 3).alias("p_value"))
-    return left.join(right, "variable").join(p, "variable")
+    """The same for two tables."""
+    rows = _sides(first, second, names).replace({"a": first_name, "b": second_name}, subset=["_side"])
+    return compare_parts(rows, "_side", names, first_name, second_name)
 
 
 def top_drift(table: DataFrame, k: int = 5) -> DataFrame:

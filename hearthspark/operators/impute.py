@@ -13,6 +13,10 @@ from hearthspark.operators.ordering import running_totals
 from hearthspark.session import materialize
 
 
+# Half the width, in ranks, of the interval that a sketch gives for a median.
+BRACKET = 1 / 2000
+
+
 def value_counts(df: DataFrame, names: Sequence[str], kind: str) -> DataFrame:
     """(variable, value, n) without missing cells; hot values combine on the map side."""
     cast = df.select(*[F.col(name).cast(kind).alias(name) for name in names])
@@ -21,14 +25,34 @@ def value_counts(df: DataFrame, names: Sequence[str], kind: str) -> DataFrame:
 
 
 def medians(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Exact median per variable as a table, by rank over the distinct values."""
-    counts = materialize(value_counts(df, names, "double"))
-    totals = counts.groupBy("variable").agg(F.sum("n").alias("_all"))
-    ranked = lookup(running_totals(counts, "value", ["n"], by=["variable"], written=True), totals, ["variable"])
+    """Exact median per variable as a table.
+
+    A sketch of all columns in one pass brackets each median; a second pass
+    counts what lies below the bracket and the few values inside it, and only
+    those are ranked. Nothing wide is shuffled or written.
+    """
+    sketched = [F.col(name).cast("double") for name in names]
+    row = df.agg(*[F.count(x).alias(f"n_{i}") for i, x in enumerate(sketched)], *[
+        F.percentile_approx(x, [0.5 - BRACKET, 0.5 + BRACKET], F.lit(int(4 / BRACKET))).alias(f"b_{i}")
+        for i, x in enumerate(sketched)]).first()
+    known = [(name, row[f"n_{i}"], *row[f"b_{i}"]) for i, name in enumerate(names) if row[f"n_{i}"]]
+    if not known:
+        return df.sparkSession.createDataFrame([], "variable string, median double")
+    # Values below the bracket become one missing value, values above it leave.
+    entries = [F.when(value <= F.lit(high), F.struct(
+        F.lit(name).alias("variable"), F.when(value >= F.lit(low), value).alias("value")))
+        for name, _, low, high in known for value in [F.col(name).cast("double")]]
+    inside = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    counts = materialize(inside.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n")))
+    sizes = df.sparkSession.createDataFrame([(name, n) for name, n, *_ in known], "variable string, _all long")
+    below = counts.filter("value is null").select("variable", F.col("n").alias("_below"))
+    totals = sizes.join(below, "variable", "left").fillna(0, ["_below"])
+    valued = counts.filter("value is not null")
+    ranked = lookup(running_totals(valued, "value", ["n"], by=["variable"], written=True), totals, ["variable"])
 
     def at(rank):
-        inside = (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))
-        return F.max(F.when(inside, F.col("value")))
+        before = F.col("_below") + F.col("n_before")
+        return F.max(F.when((before <= rank) & (rank < before + F.col("n")), F.col("value")))
 
     low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
     return ranked.groupBy("variable").agg(((at(low) + at(high)) / 2).alias("median"))

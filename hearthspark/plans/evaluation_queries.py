@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 from hearthspark.operators import drift as d
 from hearthspark.operators import features as ft
 from hearthspark.operators import metrics as m
+from hearthspark.operators import sampling as sm
+from hearthspark.operators.impute import apply_fill, fit_mean
 from hearthspark.plans.feature_queries import SECOND_SET_SQL, rounded
 from hearthspark.plans.registry import query, with_tables
+from hearthspark.plans.sampling_queries import MATCHED_SQL
+from hearthspark.plans.table_queries import KEYS, SEED
 from hearthspark.sources.survey import Survey
 
 CUT = 0.8
@@ -141,6 +145,31 @@ def ks_two_sample(s: Survey) -> DataFrame:
     return rounded(table.withColumn("d", F.round("d", 9)), "p_value")
 
 
+def _ks_long(train: str) -> str:
+    return KS_LONG.replace(" from train", f" from {train}")
+
+
+@query(with_tables(f"select variable, round(d,9) as d, cast(n_a as bigint) as n_a, cast(n_b as bigint) as n_b, "
+                   f"round(p_value,6) as p_value from ({KS_SQL})",
+                   imputed="select " + ", ".join(f"coalesce(cast({n} as double), (select avg({n}) from train)) as {n}"
+                                                 for n in TESTED) + " from train", long=_ks_long("imputed")))
+def ks_imputed(s: Survey) -> DataFrame:
+    """Training columns with their means in missing cells against the test columns as they are."""
+    filled = apply_fill(s.train.select(*TESTED), fit_mean(s.train, TESTED))
+    table = d.kolmogorov_smirnov(filled, s.test, TESTED)
+    return rounded(table.withColumn("d", F.round("d", 9)), "p_value")
+
+
+@query(with_tables(f"select variable, round(d,9) as d, cast(n_a as bigint) as n_a, cast(n_b as bigint) as n_b, "
+                   f"round(p_value,6) as p_value from ({KS_SQL})",
+                   matched=f"select * from train where id in (select id from ({MATCHED_SQL}))", long=_ks_long("matched")))
+def ks_matched(s: Survey) -> DataFrame:
+    """A training sample with the strata of the test table against the test columns."""
+    sample = sm.matched_sample(s.train.select("id", *TESTED), s.test.select("id", *KEYS), "id", KEYS, SEED)
+    table = d.kolmogorov_smirnov(sample, s.test, TESTED)
+    return rounded(table.withColumn("d", F.round("d", 9)), "p_value")
+
+
 @query(with_tables(f"select variable, round(d,9) as d from ({KS_SQL}) order by d desc, variable limit 5", long=KS_LONG))
 def top_drift_features(s: Survey) -> DataFrame:
     top = d.top_drift(d.kolmogorov_smirnov(s.train, s.test, TESTED), 5)
@@ -162,6 +191,7 @@ def welch_t_test(s: Survey) -> DataFrame:
     return rounded(table.withColumn("df", F.round("df", 4)), "t")
 
 
+# The variables of the published comparison.
 COMPARED = ["num_individuos", "num_individuos_menores_18", "num_individuos_mayores_65", "dummy_mayores_65",
             "jefe_mujer", "alguno_universidad", "porcentaje_laborando", "share_empleado_privado",
             "share_empleado_publico", "share_empleado_cuentapropia", "alimentos", "horas_total_bruto",
@@ -178,12 +208,20 @@ def _summary(name: str, part: str) -> str:
                                       for n in COMPARED), features=SECOND_SET_SQL))
 def compare_summary(s: Survey) -> DataFrame:
     rows = ft.enhance_2(s.households, s.persons)
-    table = d.compare_tables(rows.filter("part = 'train'"), rows.filter("part = 'test'"), COMPARED)
+    table = d.compare_parts(rows, "part", COMPARED)
     return rounded(table.drop("p_value"), "pct_present_train", "pct_present_test")
 
 
-@query()
+# Two-sided tail of the t distribution by Simpson's rule on 4,000 intervals.
+P_SQL = """select variable, round(greatest(0.0e0, 1-2*exp(lgamma((df+1)/2)-lgamma(df/2))/sqrt(df*pi())*abs(t)/12000.0e0*(
+    select sum((case when i=0 or i=4000 then 1 when i%2=1 then 4 else 2 end)
+      *power(1+(t*i/4000.0e0)*(t*i/4000.0e0)/df, -(df+1)/2)) from range(0,4001) r(i))),3) as p_value
+  from (select variable, (m_a-m_b)/sqrt(e_a+e_b) as t,
+    (e_a+e_b)*(e_a+e_b)/(e_a*e_a/(n_a-1)+e_b*e_b/(n_b-1)) as df from ({moments}))"""
+
+
+@query(with_tables(P_SQL.format(moments=_moments(COMPARED, "ftrain", "ftest")), features=SECOND_SET_SQL,
+                   ftrain="select * from features where part='train'", ftest="select * from features where part='test'"))
 def compare_summary_p_values(s: Survey) -> DataFrame:
     rows = ft.enhance_2(s.households, s.persons)
-    table = d.compare_tables(rows.filter("part = 'train'"), rows.filter("part = 'test'"), COMPARED)
-    return table.select("variable", "p_value")
+    return d.compare_parts(rows, "part", COMPARED).select("variable", "p_value")

@@ -23,8 +23,11 @@ class Prepared:
 
 
 def fit_prepare(train: DataFrame, label: str = LABEL, leaky: Sequence[str] = LEAKY, key: str = "id") -> Prepared:
-    """Medians of the numeric and modes of the text columns of the labeled training rows."""
-    rows = c.labeled(c.drop_columns(train, leaky), label)
+    """Medians of the numeric and modes of the text columns of the labeled training rows.
+
+    A column without any value there teaches nothing and leaves both tables.
+    """
+    rows = c.drop_empty_columns(c.labeled(c.drop_columns(train, leaky), label))
     numeric = c.numeric_names(rows, excluded=[label, key])
     texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType) and f.name != key]
     fills = {**fit_median(rows, numeric), **(fit_mode(rows, texts) if texts else {})}

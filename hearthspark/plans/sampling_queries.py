@@ -59,12 +59,15 @@ def class_weights(s: Survey) -> DataFrame:
     return rounded(sm.class_weights(s.train, LABEL), "weight")
 
 
-@query(with_tables(f"""select id, Clase, P5000, P5090, P5100, P5130 from (
+MATCHED_SQL = f"""select id, Clase, P5000, P5090, P5100, P5130 from (
     select t.*, q.prop from ({RANKED.format(by=", ".join(KEYS), table="train")}) t left join (
       select {", ".join(KEYS)}, count(*)/cast(sum(count(*)) over (partition by {", ".join(KEYS[:-1])}) as double) as prop
       from test group by {", ".join(KEYS)}) q
     on {" and ".join(f"t.{k} is not distinct from q.{k}" for k in KEYS)}
-  ) where r <= round_even(least(1.0e0, coalesce(prop, 1.0e0))*n, 0)"""))
+  ) where r <= round_even(least(1.0e0, coalesce(prop, 1.0e0))*n, 0)"""
+
+
+@query(with_tables(MATCHED_SQL))
 def stratum_matched_sample(s: Survey) -> DataFrame:
     return sm.matched_sample(s.train.select("id", *KEYS), s.test.select("id", *KEYS), "id", KEYS, SEED)
 
@@ -86,6 +89,7 @@ def impute_median(s: Survey) -> DataFrame:
     return rounded(i.apply_fill(s.test.select("id", *GAPS), fitted), *GAPS)
 
 
+JOBS = {1: "private", 2: "public", 4: "own"}
 JOB_SQL = "cast(case P6430 when 1 then 'private' when 2 then 'public' when 4 then 'own' end as varchar)"
 
 
@@ -96,8 +100,7 @@ JOB_SQL = "cast(case P6430 when 1 then 'private' when 2 then 'public' when 4 the
     (select P6210 as e from (select P6210, count(*) as n from personas group by 1) where P6210 is not null
       order by n desc, P6210 limit 1)"""))
 def impute_mode(s: Survey) -> DataFrame:
-    job = F.when(F.col("P6430") == 1, "private").when(F.col("P6430") == 2, "public").when(F.col("P6430") == 4, "own")
-    rows = s.persons.select("id", job.alias("job"), "P6210")
+    rows = c.recode(s.persons.select("id", "P6430", "P6210"), "P6430", JOBS, "job").drop("P6430")
     return i.apply_fill(rows, i.fit_mode(rows, ["job", "P6210"]))
 
 
@@ -106,8 +109,7 @@ def impute_mode(s: Survey) -> DataFrame:
     (select job as m from (select {JOB_SQL} as job, count(*) as n from personas group by 1) where job is not null
       order by n desc, job limit 1)"""))
 def impute_mean_mode(s: Survey) -> DataFrame:
-    job = F.when(F.col("P6430") == 1, "private").when(F.col("P6430") == 2, "public").when(F.col("P6430") == 4, "own")
-    rows = s.persons.select("id", "P6800", job.alias("job"))
+    rows = c.recode(s.persons.select("id", "P6800", "P6430"), "P6430", JOBS, "job").drop("P6430")
     return rounded(i.apply_fill(rows, i.fit_mean_or_mode(rows, ["P6800", "job"])), "P6800")
 
 
@@ -179,7 +181,7 @@ NUMBERS = ["Clase", "Depto", "P5000", "P5010", "P5090", "P5100", "P5130", "P5140
 
 
 def _prepared(label: str) -> str:
-    filled = ", ".join(f"round(coalesce({n},m_{n}),6) as {n}" for n in NUMBERS)
+    filled = ", ".join(f"round(coalesce({n},m_{n}),6) as {n}" for n in [*NUMBERS, "ratio"])
     return f"""select id, Dominio, {filled}, {label} as Pobre, part from hogares, {_medians(NUMBERS)}"""
 
 
@@ -191,6 +193,18 @@ def prepare_data(s: Survey) -> DataFrame:
     return rounded(train.unionByName(test), *NUMBERS)
 
 
+@query(with_tables("select count(*) as n_rows, cast(15 as int) as n_columns, cast(sum("
+                   + "+".join(f"case when {n} is null then 1 else 0 end" for n in [*NUMBERS, "ratio"])
+                   + ") as bigint) as missing_cells, cast(sum(case when isinf(ratio) then 1 else 0 end) as bigint) "
+                   "as infinite_cells from hogares left join (select id, coalesce(cast(count(case when P6040<15 or P6040>64 "
+                   "then 1 end) as double)/nullif(count(case when P6040 between 15 and 64 then 1 end),0), "
+                   "cast('inf' as double)) as ratio from personas group by id) using (id)"))
+def ready_checks(s: Survey) -> DataFrame:
+    """Rows, columns, missing and infinite cells of numeric columns before they are filled and replaced."""
+    rows = ft.enhance(s.households, s.persons).select(*NUMBERS, "dependency_ratio")
+    return pr.ready_checks(rows)
+
+
 READY = ["P5000", "P5010", "Li", "Pobre", "pension_status", "is_female_headed", "mean_age_household",
          "has_pensioner", "main_insurance_type", "num_under_18"]
 READY_SQL = ", ".join(
