@@ -97,7 +97,9 @@ class LineStore:
             found = found.join(known, list(KEY), "left")
             seen = seen | F.coalesce(f"in_{i}", F.lit(False))
         own = SortedRun(found.select(*KEY, "first", "latest", seen.alias("seen")), KEY, self.buckets)
-        repeated = own.df.where(F.col("seen") | (F.col("first") < F.col("latest"))).select(*KEY, "first", "seen")
+        # Read as plain files: where both sides are shuffled, a line in very many documents can be split.
+        rows = self.spark.read.schema(own.df.schema).parquet(own.path)
+        repeated = rows.where(F.col("seen") | (F.col("first") < F.col("latest"))).select(*KEY, "first", "seen")
         dropped = (lines.join(repeated, list(KEY)).where(F.col("seen") | (F.col("doc_id") > F.col("first")))
                    .select("doc_id", *KEY))
         self.add(own, 0, compact=not last)
