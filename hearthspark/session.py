@@ -6,10 +6,14 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+# Folders of the open ``scratch`` blocks, the innermost last.
+_scratch: list[str] = []
 
 # Runtime settings the plans in this package rely on; all can be set on a live session.
 SQL_SETTINGS = {
@@ -79,6 +83,8 @@ def shared_dir(spark: SparkSession) -> str:
     Only where the setting is absent (a local test session) a temporary
     folder is made; a cluster without the setting is an error.
     """
+    if _scratch:
+        return _scratch[-1]
     named = spark.conf.get(CHECKPOINT_SETTING, None)
     if named:
         return named
@@ -89,6 +95,22 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Stages written inside the block go to a folder of their own, which is deleted at its end.
+
+    Whatever reads them has to be written or collected inside the block.
+    """
+    folder = os.path.join(shared_dir(spark), f"run-{uuid.uuid4().hex}")
+    _scratch.append(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.remove(folder)
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 

@@ -16,7 +16,7 @@ from hearthspark.operators import neighbours as nb
 from hearthspark.operators import ordering as o
 from hearthspark.operators import sampling as sm
 from hearthspark.plans import training as tr
-from hearthspark.session import fresh_path, shared_dir
+from hearthspark.session import fresh_path, materialize, scratch, shared_dir
 from hearthspark.sources import files
 
 
@@ -251,3 +251,11 @@ def test_rows_without_a_usable_vector_are_set_aside(spark):
     assert {r["usable"]: r["n"] for r in nb.set_aside(table, "vec").collect()} == {True: 60, False: 4}
     made = nb.synthetic_points(table, "id", "vec", 100).collect()
     assert len(made) == 100 and {r["base"] for r in made} <= set(range(60))
+
+
+def test_scratch_deletes_its_stages(spark):
+    outer = shared_dir(spark)
+    with scratch(spark) as folder:
+        assert materialize(spark.range(5)).count() == 5
+        assert files.path_exists(spark, folder) and shared_dir(spark) == folder
+    assert not files.path_exists(spark, folder) and shared_dir(spark) == outer
