@@ -95,6 +95,13 @@ def adversarial_validation(s: Survey) -> DataFrame:
     return tr.adversarial_validation(train, test, features, trees=TREES).metrics
 
 
+@query()
+def adversarial_confusion(s: Survey) -> DataFrame:
+    train, test, names = tr.modelling_tables(s)
+    features = [n for n in names if n not in ("Fex_c", "Fex_dpto")]
+    return tr.adversarial_validation(train, test, features, trees=TREES).confusion
+
+
 @query()
 def stacking_predict(s: Survey) -> DataFrame:
     train, test, names = tr.modelling_tables(s)
