@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from html.parser import HTMLParser
 
@@ -26,9 +27,13 @@ LEFT_OUT = frozenset(
 SURROUNDINGS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation "
     "menu menubar breadcrumb breadcrumbs sidebar aside footer header masthead cookie cookies consent notice notices "
-    "popup modal comment comments reply replies discussion disqus share sharing social related recommended newsletter "
-    "subscribe subscription search complementary contentinfo".split()
+    "popup modal gdpr comment comments reply replies discussion disqus share sharing social related recommended "
+    "newsletter subscribe subscription signup search toolbar pagination widget complementary contentinfo".split()
 )
+# Words that turn a mark into a remark on the layout ("has-sidebar"), or a header into an article's own.
+LAYOUT = frozenset(("has", "with", "no", "without", "layout"))
+OWN_HEADER = frozenset(("article", "post", "entry", "story"))
+NAME_PARTS = re.compile("[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 # An open paragraph or item that a new one ends, and the elements that such an end doesn't leave.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -88,14 +93,13 @@ class Blocks(HTMLParser):
         if tag in LEFT_OUT:
             # The heading block of an article holds its title; only headings count there.
             return not (tag == "header" and any(self.names[i] in ("article", "main") for i in self.open))
-        if tag in ("html", "body", "main", "article"):
+        if tag in ("html", "body", "main"):
             return False
         for name, value in attrs:
             if name == "hidden" or name == "aria-hidden" and value == "true":
                 return True
-            if name in ("class", "id", "role") and value:
-                if not SURROUNDINGS.isdisjoint(value.lower().replace("-", " ").replace("_", " ").split()):
-                    return True
+            if name in ("class", "id", "role") and value and any(map(surrounding_name, value.split())):
+                return True
         return False
 
     def handle_endtag(self, tag: str) -> None:
@@ -114,6 +118,14 @@ class Blocks(HTMLParser):
         """A marked section, such as CDATA in a page of XML, is markup."""
 
 
+def surrounding_name(name: str) -> bool:
+    """Does a class, id or role name what surrounds an article?"""
+    words = {word.lower() for word in NAME_PARTS.split(name)}
+    if words & LAYOUT:
+        return False
+    return bool(words & (SURROUNDINGS - {"header"} if words & OWN_HEADER else SURROUNDINGS))
+
+
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     """Gaussian mean over neighbouring lines; at the ends only over the lines there are."""
     reach = int(3 * sigma)

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from hearthspark.llm import html as html_module
 from hearthspark.llm import queries
 from hearthspark.llm.html import extract_main_text, main_text, smoothed, threshold
 from tests.llm.data import SMALL, given
@@ -59,6 +60,13 @@ def test_table_cases(spark):
     assert extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_names_of_surroundings():
+    for name in ("ad", "site-header", "sidebarLeft", "cookie_notice", "adBox", "reader-comments", "leftNav"):
+        assert html_module.surrounding_name(name), name
+    for name in ("has-sidebar", "no-ads-layout", "article-header", "content", "address", "header-less-with-menu", "lead"):
+        assert not html_module.surrounding_name(name), name
+
+
 def test_cluster_threshold():
     import numpy as np
 
