@@ -9,6 +9,7 @@ Conventions of the whole subpackage
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -33,6 +34,9 @@ WORD_TABLE = bytes(
 
 Compute = Callable[..., Sequence[pa.Array]]
 
+# What an operator's tasks leave in a worker for its next tasks; see ``task_state``.
+_kept: dict[object, object] = {}
+
 
 def prepared(spark: SparkSession) -> SparkSession:
     """The session with the settings the operators rely on."""
@@ -69,13 +73,49 @@ def parts(batch: pa.RecordBatch, measure: int | None, limit: int = SLICE_BYTES)
         start = stop
 
 
+def task_state(key: object, make: Callable[[], object]) -> object:
+    """State of an operator that a reused worker keeps from task to task, as long as no other operator runs in it."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def begin_task(state: object = None) -> None:
+    """Drop what tasks of other operators left in this worker."""
+    if state not in _kept:
+        _kept.clear()
+
+
+def end_task() -> None:
+    """Give free memory back to the system: workers outlive tasks, and would go on holding the most any task needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], state: object = None
+         ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` as a task that leaves no more in its worker than ``state``."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(state)
+        yield from run(batches)
+        end_task()
+
+    return task
+
+
 def append(df: DataFrame, make: Callable[[], Compute], fields: Sequence[StructField], reads: Sequence[str],
-           keep: Sequence[str] | None = None, measure: str | None = None) -> DataFrame:
+           keep: Sequence[str] | None = None, measure: str | None = None, limit: int = SLICE_BYTES,
+           state: object = None) -> DataFrame:
     """``df`` with columns computed from ``reads`` by Arrow batches, without a shuffle.
 
     ``make`` is called once per task and gives the function from the read
     columns to the new ones. ``keep`` names the input columns that stay (all
-    by default). ``measure`` is the column whose bytes bound a batch.
+    by default). ``measure`` is the column of which at most ``limit`` bytes
+    are handled at once, ``state`` the key of the operator's ``task_state``.
     """
     new = {field.name.lower() for field in fields}
     kept = [name for name in (df.columns if keep is None else keep) if name.lower() not in new]
@@ -90,8 +130,20 @@ def append(df: DataFrame, make: Callable[[], Compute], fields: Sequence[StructFi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            for part in parts(batch, sized):
+            for part in parts(batch, sized, limit):
                 made = compute(*[part.column(i) for i in places])
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(kept))], *made], names=names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run, state), schema)
+
+
+def hashed_sample(df: DataFrame, most: int, rows: int, *key: str) -> DataFrame:
+    """``most`` of the ``rows`` rows, chosen by a hash of ``key``: the same rows on any cluster.
+
+    A bound on the hash first leaves about twice as many, so that however many
+    partitions there are, few rows meet in the task that takes the smallest.
+    """
+    share = min(1.0, 2 * most / max(1, rows) + 1e-6)
+    draw = F.xxhash64(F.lit(17), *key)
+    near = df.where(F.pmod(draw, F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    return near.orderBy(F.pmod(draw, F.lit(1 << 30)), *key).limit(most)

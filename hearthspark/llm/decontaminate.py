@@ -17,7 +17,7 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
-from hearthspark.llm.common import append, ascii_words, parts, texts
+from hearthspark.llm.common import append, ascii_words, parts, texts, tidy
 from hearthspark.llm.storage import Stage
 
 WINDOW = 13
@@ -25,7 +25,7 @@ WINDOW = 13
 ONE_IN = 20
 
 # Text of an index shard, and benchmark text that is searched for at once.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 8 << 20
 # Candidate places checked at once.
 CANDIDATES = 1 << 20
@@ -67,7 +67,7 @@ def build_index(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Sta
                     pa.array([squeeze(steps.tobytes())], pa.binary())], names=schema.names)
                 number += 1
 
-    return Stage(source.mapInArrow(run, schema), "index")
+    return Stage(source.mapInArrow(tidy(run), schema), "index")
 
 
 def one_list(values: pa.Array) -> pa.ListArray:
@@ -251,7 +251,7 @@ def search(index: DataFrame, rows: Sequence[tuple[str, bytes]], window: int, pro
                     *[pa.array([x.get(d, []) for d in shown.tolist()], pa.list_(pa.string())) for x in owners]],
                     names=schema.names)
 
-    return index.mapInArrow(run, schema)
+    return index.mapInArrow(tidy(run), schema)
 
 
 def hit_spans(shard: Shard, first: np.ndarray, length: np.ndarray) -> dict[int, list[dict[str, int]]]:

@@ -13,7 +13,7 @@ from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
-from hearthspark.llm.common import append, parts, texts
+from hearthspark.llm.common import append, parts, texts, tidy
 
 # Documents of each language that the model is fitted on, at most (chosen by a hash of their id).
 TRAIN_PER_LANGUAGE = 2000
@@ -25,6 +25,8 @@ SCRIPT_SHARE = 0.001
 # A document is accepted if at least this share of its letters is in its language.
 ACCEPT = 0.4
 CHUNK = 256
+# Text handled at once; its arrays take some 80 times as much.
+SLICE = 1 << 20
 UNKNOWN = "und"
 
 # First code points of Unicode script ranges, in order.
@@ -209,7 +211,7 @@ def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, buckets: int =
         grams = np.zeros((len(languages), buckets), dtype=np.int64)
         scripts = np.zeros((len(languages), len(SCRIPT_NAMES)), dtype=np.int64)
         for batch in batches:
-            for part in parts(batch, 1):
+            for part in parts(batch, 1, SLICE):
                 words = Words.of([x.decode("utf-8", "replace") for x in texts(part.column(1))], buckets)
                 own = np.array([languages.index(x) for x in part.column(0).to_pylist()], dtype=np.int64)
                 by_word = own[words.doc]
@@ -223,7 +225,7 @@ def fit(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE, buckets: int =
                                          names=["place", "n"])
 
     schema = StructType([StructField("place", LongType()), StructField("n", LongType())])
-    counted = chosen.select("lang", "text").mapInArrow(run, schema).groupBy("place").agg(F.sum("n").alias("n"))
+    counted = chosen.select("lang", "text").mapInArrow(tidy(run), schema).groupBy("place").agg(F.sum("n").alias("n"))
     whole = np.zeros((len(languages), buckets + len(SCRIPT_NAMES)))
     for row in counted.toLocalIterator() if languages else ():
         whole.flat[row["place"]] = row["n"]
@@ -279,7 +281,7 @@ def label_languages(docs: DataFrame, model: Model, keep: Sequence[str] | None =
     fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     if spans:
         fields.append(StructField("spans", ArrayType(SPAN)))
-    return append(docs, make, fields, [text], keep, measure=text)
+    return append(docs, make, fields, [text], keep, measure=text, limit=SLICE)
 
 
 def span_lists(doc: np.ndarray, path: np.ndarray, languages: Sequence[str], docs: int) -> pa.Array:

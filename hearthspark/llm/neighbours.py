@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from hearthspark.llm.common import append
+from hearthspark.llm.common import append, hashed_sample, tidy
 from hearthspark.llm.storage import Stage
 
 TOP = 20
@@ -86,7 +86,7 @@ def distinct_vectors(vectors: DataFrame, top: int) -> DataFrame:
         if found:
             yield passed_on()
 
-    return (rows.mapInArrow(run, rows.schema).groupBy("k1", "k2")
+    return (rows.mapInArrow(tidy(run), rows.schema).groupBy("k1", "k2")
             .agg(F.first("vector").alias("vector"),
                  F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, most).alias("ids"),
                  F.max("asked").alias("asked")))
@@ -149,7 +149,7 @@ def fit(distinct: DataFrame, dims: int, top: int, seed: int = 11) -> Fitted:
     row = distinct.agg(F.count("*").alias("n"), F.max(F.aggregate(
         "vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))).alias("norm2")).first()
     n, norm2 = row["n"], float(row["norm2"] or 1.0)
-    drawn = distinct.orderBy(F.xxhash64("k2"), "k1", "k2").limit(SAMPLE).select("vector").toArrow()
+    drawn = hashed_sample(distinct, SAMPLE, n, "k2", "k1").select("vector").toArrow()
     sample = matrix(drawn.column(0).combine_chunks(), dims)
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(dims + 1, dims + 1)))[0]
@@ -240,7 +240,7 @@ def scan_tiles(pairs: DataFrame, fitted: Fitted, dims: int, top: int) -> DataFra
                      tile.field("k2").take(x), pa.array(score[best]), tile.field("first").take(x),
                      tile.field("ids").take(x)], names=FOUND.fieldNames())
 
-    return pairs.mapInArrow(run, FOUND)
+    return pairs.mapInArrow(tidy(run), FOUND)
 
 
 def nearest(embeddings: DataFrame, top: int = TOP, every: int = EVERY) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from hearthspark.llm.common import append, texts
+from hearthspark.llm.common import append, task_state, texts, tidy
 from hearthspark.llm.storage import Stage
-from hearthspark.llm.tokens import encoder, kept
+from hearthspark.llm.tokens import encoder
 
 MAX_TOKENS = 1024
 END_ID = 0
@@ -36,9 +36,10 @@ def binary_pieces(tokens: int, most: int = MAX_TOKENS) -> list[tuple[int, int]]:
 def document_pieces(docs: DataFrame, keep: Sequence[str], text: str, tokenizer: str, most: int, end_id: int
                     ) -> DataFrame:
     """``keep`` and one row for each piece of each document."""
+    state = "ids", tokenizer
 
     def make() -> Callable[[pa.Array], Sequence[pa.Array]]:
-        encode = kept(("ids", tokenizer), lambda: encoder(tokenizer))
+        encode = task_state(state, lambda: encoder(tokenizer))
         end = end_id.to_bytes(4, "little")
         cuts: dict[int, list[tuple[int, int]]] = {}
 
@@ -59,7 +60,8 @@ def document_pieces(docs: DataFrame, keep: Sequence[str], text: str, tokenizer:
 
         return compute
 
-    listed = append(docs, make, [StructField("pieces", ArrayType(PIECE))], [text], keep, measure=text)
+    listed = append(docs, make, [StructField("pieces", ArrayType(PIECE))], [text], keep, measure=text,
+                    state=state)
     return listed.select(*keep, F.explode("pieces").alias("piece")).select(*keep, "piece.*")
 
 
@@ -81,7 +83,7 @@ def numbered(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
 
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
     schema = StructType([*dealt.schema.fields, StructField("place", LongType())])
-    written = Stage(dealt.mapInArrow(count_up, schema), "numbered").df
+    written = Stage(dealt.mapInArrow(tidy(count_up), schema), "numbered").df
     sizes = sorted((row["part"], row["n"]) for row in written.groupBy("part").agg(F.count("*").alias("n")).collect())
     firsts, total = [], 0
     for part, n in sizes:

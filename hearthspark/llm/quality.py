@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, StructField
 
-from hearthspark.llm.common import append, texts
+from hearthspark.llm.common import append, hashed_sample, texts
 
 # Labelled documents that the model is fitted on, at most (chosen by a hash of their id).
 TRAIN_DOCS = 4000
@@ -21,6 +21,8 @@ MOST_PASSAGES = 32
 HIDDEN, ATTENTION = 16, 8
 ROUNDS, RATE, DECAY, BATCH = 60, 0.01, 1e-4, 128
 CUT = 0.3
+# Text handled at once; its arrays take some 80 times as much.
+SLICE = 1 << 20
 
 # Classes of bytes, from 0 on: the share of each in a passage is a feature.
 CLASS_NAMES = ("space", "lower", "upper", "digit", "stop", "exclamation", "mark", "bar", "quote", "other", "wide",
@@ -190,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Attention
     """
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.avg("quality").alias("quality")))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    chosen = hashed_sample(known, most, known.count(), "doc_id")
     # At most ``most`` rows.
     bags = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     fields = [StructField("passages", ArrayType(FloatType()))]
@@ -203,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Attention
 
         return compute
 
-    found = append(bags, make, fields, ["text"], ["doc_id", "quality"], measure="text")
+    found = append(bags, make, fields, ["text"], ["doc_id", "quality"], measure="text", limit=SLICE)
     rows = sorted(found.dropDuplicates(["doc_id"]).toArrow().to_pylist(), key=lambda row: row["doc_id"])
     if not rows:
         rows = [{"quality": 0.5, "passages": [0.0] * FEATURES}]
@@ -230,4 +232,4 @@ def score_quality(docs: DataFrame, labels: DataFrame, keep: Sequence[str] = ("do
 
     marked = docs.withColumn("held_out", held_out(F.col("doc_id")))
     fields = [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
-    return append(marked, make, fields, ["text"], [*keep, "held_out"], measure="text")
+    return append(marked, make, fields, ["text"], [*keep, "held_out"], measure="text", limit=SLICE)

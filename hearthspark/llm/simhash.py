@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from hearthspark.llm.common import append, texts
+from hearthspark.llm.common import append, texts, tidy
 from hearthspark.llm.components import components
 from hearthspark.llm.storage import Stage
 
@@ -169,7 +169,7 @@ def links(distinct: DataFrame, tile: int = TILE) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(x).view(np.int64)) for x in (roots, found)], names=["a", "b"])
 
-    return listed.mapInArrow(run, schema).distinct()
+    return listed.mapInArrow(tidy(run), schema).distinct()
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", tile: int = TILE) -> DataFrame:

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
-from hearthspark.llm.common import append, parts, texts
+from hearthspark.llm.common import append, parts, task_state, texts, tidy
+from hearthspark.llm.storage import Stage
 
 # What the two tokenizers' patterns call letter, number and white space, up to U+017F.
 LETTER = "A-Za-zªµºÀ-ÖØ-öø-ſ"
@@ -41,11 +42,13 @@ BYTE_PATTERN = re.compile(
 BEYOND = re.compile("[^\x00-įı-ſ]")
 
 # Entries of a generation of a worker's cache.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
 # New pre-tokens encoded as one text.
 GROUP = 4096
 # Pre-tokens of the broadcast table.
 FREQUENT = 32_768
+# Steps of the histogram of counts for each doubling.
+STEPS = 16
 
 TOKEN_LIMIT = 2048
 
@@ -101,16 +104,6 @@ def grouped(found: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         yield places, [found[i] for i in places]
 
 
-# Rarely used workers' state, kept from task to task: loading a tokenizer takes longer than many a task.
-_kept: dict[object, object] = {}
-
-
-def kept(key: object, make: Callable[[], object]) -> object:
-    if key not in _kept:
-        _kept[key] = make()
-    return _kept[key]
-
-
 def id_bytes(ids: Sequence[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit numbers."""
     return np.asarray(ids, dtype="<u4").tobytes()
@@ -161,7 +154,9 @@ def frequent_pre_tokens(docs: DataFrame, text: str, name: str, most: int = FREQU
     Each task counts its pre-tokens in a table that is cut back to the
     ``most`` commonest whenever it holds four times as many, and gives at most
     ``most`` (pre-token, count) rows. Only these bounded summaries are added up
-    across tasks. A pre-token missed here costs time, never correctness.
+    across tasks, and a histogram of their counts gives the count from which on
+    there are ``most`` pre-tokens at most: no more than those reach the driver.
+    A pre-token missed here costs time, never correctness.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,9 +174,18 @@ def frequent_pre_tokens(docs: DataFrame, text: str, name: str, most: int = FREQU
             names=["token", "n"])
 
     schema = StructType([StructField("token", StringType()), StructField("n", LongType())])
-    summaries = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)
-    top = summaries.groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(most)
-    return [row["token"] for row in top.collect()]
+    summaries = docs.select(F.col(f"`{text}`").alias("text")).mapInArrow(tidy(run), schema)
+    counted = Stage(summaries.groupBy("token").agg(F.sum("n").alias("n"))
+                    .withColumn("step", F.floor(F.log2("n") * STEPS).cast("int")), "pre-tokens")
+    least, total = None, 0
+    for row in sorted(counted.df.groupBy("step").agg(F.count("*").alias("n")).collect(), key=lambda row: -row["step"]):
+        total += row["n"]
+        if total > most:
+            break
+        least = row["step"]
+    top = [] if least is None else [row["token"] for row in counted.df.where(F.col("step") >= least).collect()]
+    counted.delete()
+    return sorted(top)
 
 
 def lengths(tokenizer: Tokenizer, found: list[str]) -> list[int]:
@@ -233,7 +237,7 @@ def count_tokens(docs: DataFrame, name: str = "word_bpe_49k.json", limit: int =
     key = "lengths", name, uuid.uuid4().hex
 
     def make() -> Callable[[pa.Array], Sequence[pa.Array]]:
-        tokenizer, cut_text, remembered = kept(key, state)
+        tokenizer, cut_text, remembered = task_state(key, state)
 
         def compute(column: pa.Array) -> Sequence[pa.Array]:
             data = texts(column)
@@ -249,4 +253,4 @@ def count_tokens(docs: DataFrame, name: str = "word_bpe_49k.json", limit: int =
 
     fields = [StructField("n_bytes", LongType()), StructField("n_tokens", LongType()),
               StructField("over_limit", BooleanType())]
-    return append(docs, make, fields, [text], keep, measure=text)
+    return append(docs, make, fields, [text], keep, measure=text, state=key)
