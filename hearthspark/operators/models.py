@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
@@ -25,7 +25,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthspark.operators.encode import fit_scale
+from hearthspark.operators.encode import MISSING, fit_levels, fit_scale
 from hearthspark.operators.impute import apply_fill, fit_median
 from hearthspark.operators.metrics import apply_cutoff
 from hearthspark.operators.sampling import with_weights
@@ -52,6 +52,17 @@ class Scorer:
     threshold: float = 0.5
     op: str = ">"
     label: str = LABEL
+    # Categorical columns and the values each has a 0/1 input for; any other value gives zeros.
+    levels: dict[str, list[str]] = field(default_factory=dict)
+
+    @property
+    def inputs(self) -> list[str]:
+        """What the positions of the feature vector stand for."""
+        return [*self.names, *[f"{name}_{value}" for name, values in self.levels.items() for value in values]]
+
+    @property
+    def columns(self) -> list[str]:
+        return [*self.names, *self.levels]
 
     def features(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """Align, fill and scale a table the way the training table was, as one vector column."""
@@ -64,7 +75,12 @@ class Scorer:
             mean, spread = self.scale.get(name, (0.0, 1.0))
             return (value - F.lit(mean)) / F.lit(spread or 1.0) if name in self.scale else value
 
+        def hot(name: str, value: str) -> Column:
+            return (category(F.col(name) if name in have else F.lit(None)) == F.lit(value)).cast("double")
+
         inputs = {f"_in_{name}": ready(name) for name in self.names}
+        pairs = [(name, value) for name, values in self.levels.items() for value in values]
+        inputs |= {f"_hot_{i}": hot(name, value) for i, (name, value) in enumerate(pairs)}
         wide = df.select(*keep, *[value.alias(alias) for alias, value in inputs.items()])
         return VectorAssembler(inputCols=list(inputs), outputCol="features").transform(wide).select(*keep, "features")
 
@@ -83,7 +99,7 @@ class Scorer:
 
     def save(self, spark: SparkSession, path: str) -> None:
         settings = {"names": self.names, "fills": self.fills, "scale": self.scale, "threshold": self.threshold,
-                    "op": self.op, "label": self.label}
+                    "op": self.op, "label": self.label, "levels": self.levels}
         PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
         spark.createDataFrame([(json.dumps(settings),)], "settings string").write.mode("overwrite").parquet(
             f"{path}/settings")
@@ -95,13 +111,24 @@ class Scorer:
         return Scorer(model=PipelineModel.load(f"{path}/model").stages[0], **settings)
 
 
+def category(value: Column) -> Column:
+    """A categorical answer as text, a missing one as a value of its own."""
+    return F.coalesce(value.cast("string"), F.lit(MISSING))
+
+
 def fit_inputs(train: DataFrame, names: Sequence[str], label: str = LABEL, impute: bool = False,
-               scale: bool = True, threshold: float = 0.5, op: str = ">") -> Scorer:
-    """Everything of a scorer but the model; ``impute`` adds exact medians for missing cells."""
+               scale: bool = True, threshold: float = 0.5, op: str = ">", categories: Sequence[str] = ()) -> Scorer:
+    """Everything of a scorer but the model.
+
+    ``impute`` adds exact medians for missing cells; ``categories`` are
+    one-hot columns of the values in ``train``.
+    """
     listed = list(names)
     fills = fit_median(train, listed) if impute else {}
     scales = fit_scale(apply_fill(train, fills), listed) if scale else {}
-    return Scorer(listed, fills, scales, None, threshold, op, label)
+    texts = train.select(*[category(F.col(name)).alias(name) for name in categories])
+    levels = {name: fit_levels(texts, name) for name in categories}
+    return Scorer(listed, fills, scales, None, threshold, op, label, levels)
 
 
 def training_rows(inputs: Scorer, df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -160,7 +187,7 @@ def perceptron(n_features: int, hidden: Sequence[int] = HIDDEN_LAYERS, rounds: i
 def feature_importance(scorer: Scorer, spark: SparkSession) -> DataFrame:
     """(feature, importance), highest first, name as tie-break."""
     values = scorer.model.featureImportances.toArray()
-    rows = [(name, float(value)) for name, value in zip(scorer.names, values, strict=True)]
+    rows = [(name, float(value)) for name, value in zip(scorer.inputs, values, strict=True)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
@@ -174,7 +201,7 @@ def split_importance(scorer: Scorer, spark: SparkSession) -> DataFrame:
     nodes = spark.read.parquet(f"{path}/data").select("nodeData.*").filter("leftChild >= 0")
     per_feature = nodes.groupBy(F.col("split.featureIndex").alias("position")).agg(
         F.count(F.lit(1)).alias("splits"), F.avg("gain").alias("mean_gain"))
-    names = spark.createDataFrame(list(enumerate(scorer.names)), "position int, feature string")
+    names = spark.createDataFrame(list(enumerate(scorer.inputs)), "position int, feature string")
     return names.join(per_feature, "position", "left").select(
         "feature", F.coalesce("splits", F.lit(0).cast("long")).alias("splits"),
         F.coalesce("mean_gain", F.lit(0.0)).alias("mean_gain")).orderBy(F.desc("splits"), "feature")

@@ -23,9 +23,9 @@ TREES = 50
 ROUNDS = 10
 
 
-def _boost(names: list[str], depth: int = 6, rounds: int = ROUNDS, seed: int = SEED):
+def _boost(names: list[str], texts: list[str], depth: int = 6, rounds: int = ROUNDS, seed: int = SEED):
     def fit(rows: DataFrame) -> md.Scorer:
-        return md.fit_scorer(rows, md.boosted(depth=depth, rounds=rounds, seed=seed), names)
+        return md.fit_scorer(rows, md.boosted(depth=depth, rounds=rounds, seed=seed), names, categories=texts)
 
     return fit
 
@@ -34,21 +34,22 @@ def _boost(names: list[str], depth: int = 6, rounds: int = ROUNDS, seed: int = S
 def rf_predict(s: Survey) -> DataFrame:
     train, test, names = tr.modelling_tables(s)
     balanced = materialize(sm.undersample(train, "id", LABEL, SEED))
-    scorer = md.fit_scorer(balanced, md.forest(TREES), names, scale=False, threshold=0.75)
+    scorer = md.fit_scorer(balanced, md.forest(TREES), names, scale=False, threshold=0.75,
+                           categories=tr.categories(train))
     return scorer.predict(test)
 
 
 @query()
 def feature_importance(s: Survey) -> DataFrame:
     train, _, names = tr.modelling_tables(s)
-    scorer = md.fit_scorer(train, md.forest(TREES), names, scale=False)
+    scorer = md.fit_scorer(train, md.forest(TREES), names, scale=False, categories=tr.categories(train))
     return md.feature_importance(scorer, s.spark)
 
 
 @query()
 def split_importance(s: Survey) -> DataFrame:
     train, _, names = tr.modelling_tables(s)
-    return md.split_importance(_boost(names, depth=4, rounds=5)(train), s.spark)
+    return md.split_importance(_boost(names, tr.categories(train), depth=4, rounds=5)(train), s.spark)
 
 
 @query()
@@ -77,14 +78,14 @@ def elasticnet_grid(s: Survey) -> DataFrame:
 def gbt_predict(s: Survey) -> DataFrame:
     train, test, names = tr.modelling_tables(s)
     weights = sm.class_weights(train, LABEL, boost={1: 1.5})
-    scorer = md.fit_scorer(train, md.boosted(rounds=ROUNDS), names, weights=weights)
+    scorer = md.fit_scorer(train, md.boosted(rounds=ROUNDS), names, weights=weights, categories=tr.categories(train))
     return scorer.predict(test)
 
 
 @query()
 def gbt_early_stop(s: Survey) -> DataFrame:
     train, test, names = tr.modelling_tables(s)
-    scorer = tr.boost_with_validation(train, names, rounds=2 * ROUNDS, depth=4)
+    scorer = tr.boost_with_validation(train, names, rounds=2 * ROUNDS, depth=4, categories=tr.categories(train))
     return scorer.predict(test).withColumn("rounds", F.lit(scorer.model.getNumTrees))
 
 
@@ -106,7 +107,9 @@ def adversarial_confusion(s: Survey) -> DataFrame:
 def stacking_predict(s: Survey) -> DataFrame:
     train, test, names = tr.modelling_tables(s)
     split = materialize(sm.split_stratified(train, "id", LABEL, 0.8, SEED))
-    stack = tr.fit_stack(split.filter("split = 'train'"), [_boost(names, 5, 5), _boost(names, 3, 5, 7)], k=5)
+    texts = tr.categories(train)
+    learners = [_boost(names, texts, 5, 5), _boost(names, texts, 3, 5, 7)]
+    stack = tr.fit_stack(split.filter("split = 'train'"), learners, k=5)
     threshold = tr.tune_threshold(stack.score(split.filter("split = 'test'"), ["id", LABEL]))
     return m.apply_cutoff(stack.score(test), threshold, op=">=")
 
@@ -115,7 +118,9 @@ def stacking_predict(s: Survey) -> DataFrame:
 def mlp_predict(s: Survey) -> DataFrame:
     train, test, names = tr.modelling_tables(s)
     balanced = materialize(sm.undersample(train, "id", LABEL, SEED))
-    scorer = md.fit_scorer(balanced, md.perceptron(len(names), rounds=30), names)
+    texts = tr.categories(train)
+    width = len(md.fit_inputs(balanced, names, scale=False, categories=texts).inputs)
+    scorer = md.fit_scorer(balanced, md.perceptron(width, rounds=30), names, categories=texts)
     return scorer.predict(test)
 
 
@@ -124,7 +129,8 @@ def batch_score(s: Survey) -> DataFrame:
     """Fit, save, load, and score the test households with the loaded scorer."""
     train, test, names = tr.modelling_tables(s)
     path = fresh_path(s.spark, "scorer")
-    md.fit_scorer(train, md.elastic_logistic(0.0, 0.01), names, threshold=0.4).save(s.spark, path)
+    md.fit_scorer(train, md.elastic_logistic(0.0, 0.01), names, threshold=0.4,
+                  categories=tr.categories(train)).save(s.spark, path)
     return md.Scorer.load(s.spark, path).predict(test)
 
 

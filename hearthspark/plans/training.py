@@ -36,20 +36,28 @@ SEARCH_RUNS = 20
 Fit = Callable[[DataFrame], md.Scorer]
 
 
-def modelling_tables(s: Survey) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Ready train and test tables, written once, and the numeric feature names."""
+def modelling_tables(s: Survey, no_ratio: float = 0.0) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Ready train and test tables, written once, and the numeric feature names.
+
+    ``no_ratio`` stands for the dependency ratio of a household without members of working age.
+    """
     rows = materialize(ft.enhance(s.households, s.persons))
     train = rows.filter("part = 'train'").drop("part")
     test = rows.filter("part = 'test'").drop("part", LABEL, *LEAKY)
 
     def finish(df: DataFrame, other: DataFrame) -> DataFrame:
         ready = ready_table(df, other)
-        return c.replace_infinite(ready, ["dependency_ratio"], 0.0)
+        return c.replace_infinite(ready, ["dependency_ratio"], no_ratio)
 
     ready_train, ready_test = materialize(finish(train, test)), materialize(finish(test, train))
     return ready_train, ready_test, c.numeric_names(ready_train, excluded=["id", LABEL])
 
 
+def categories(train: DataFrame) -> list[str]:
+    """The text columns of a ready table, which enter a model as 0/1 columns."""
+    return [f.name for f in train.schema.fields if f.dataType.simpleString() == "string" and f.name != "id"]
+
+
 def stacked(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -101,8 +109,11 @@ def cross_validate(train: DataFrame, fit: Fit, k: int = 5, key: str = "id", labe
 def forest_flow(train: DataFrame, names: Sequence[str], trees: int = md.FOREST_TREES, k: int = 5,
                 threshold: float = 0.5, seed: int = 42) -> tuple[CrossValidated, md.Scorer]:
     """Cross-validate an undersampled forest, then fit it on all undersampled rows."""
+    texts = categories(train)
+
     def fit(rows: DataFrame) -> md.Scorer:
-        return md.fit_scorer(rows, md.forest(trees, seed=seed), names, scale=False, threshold=threshold)
+        return md.fit_scorer(rows, md.forest(trees, seed=seed), names, scale=False, threshold=threshold,
+                             categories=texts)
 
     def balance(rows: DataFrame) -> DataFrame:
         return materialize(sm.undersample(rows, "id", LABEL, seed))
@@ -161,13 +172,14 @@ def elastic_grid(train: DataFrame, names: Sequence[str], alphas: Sequence[float]
 # ---- boosting ------------------------------------------------------------------------
 
 def boost_with_validation(train: DataFrame, names: Sequence[str], label: str = LABEL, seed: int = 42,
-                          share: float = 0.8, tolerance: float = 0.01, **settings) -> md.Scorer:
+                          share: float = 0.8, tolerance: float = 0.01, categories: Sequence[str] = (),
+                          **settings) -> md.Scorer:
     """Boosting that stops on held-out rows; the split keeps the class shares."""
     marked = sm.split_stratified(train, "id", label, share, seed)
     rows = marked.withColumn("is_validation", F.col("split") == "test").drop("split")
     weights = sm.class_weights(rows, label)
     estimator = md.boosted_with_stop("is_validation", tolerance, **settings)
-    return md.fit_scorer(rows, estimator, names, label, weights, extra=["is_validation"])
+    return md.fit_scorer(rows, estimator, names, label, weights, extra=["is_validation"], categories=categories)
 
 
 # ---- stacking ---------------------------------------------------------------------------
@@ -187,7 +199,7 @@ class Stack:
 
 
 def one_pass_scores(learners: Sequence[md.Scorer], df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    names = list(dict.fromkeys(n for learner in learners for n in learner.names))
+    names = list(dict.fromkeys(n for learner in learners for n in learner.columns))
     current, made = df.select(*keep, *names), []
     for i, learner in enumerate(learners):
         current = learner.score(current, [*keep, *names, *made]).withColumnRenamed("score", f"p{i}")
