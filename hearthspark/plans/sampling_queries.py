@@ -12,10 +12,10 @@ from hearthspark.operators import features as ft
 from hearthspark.operators import impute as i
 from hearthspark.operators import sampling as sm
 from hearthspark.plans import prepare as pr
-from hearthspark.plans.feature_queries import ENHANCED_SQL, rounded
+from hearthspark.plans.feature_queries import ENHANCED_SQL, FRACTIONS, rounded
 from hearthspark.plans.registry import query, with_tables
-from hearthspark.plans.table_queries import KEYS, SEED, md5_order
-from hearthspark.sources.survey import LABEL, LEAKY, Survey
+from hearthspark.plans.table_queries import ENHANCED_NAMES, KEYS, SEED, filled_sql, md5_order
+from hearthspark.sources.survey import LABEL, LEAKY, SPARSE, Survey
 
 RANKED = f"""select *, row_number() over (partition by {{by}} order by {md5_order()}) as r,
     count(*) over (partition by {{by}}) as n from {{table}}"""
@@ -115,10 +115,14 @@ def impute_mean_mode(s: Survey) -> DataFrame:
 
 # ---- encoding ----------------------------------------------------------------------
 
-SCALED = ["P5000", "P5010", "Nper", "Li", "Fex_c", "Fex_dpto"]
+# The numeric columns of the households.
+NUMBERS = ["Clase", "Depto", "P5000", "P5010", "P5090", "P5100", "P5130", "P5140", "Nper", "Npersug", "Li", "Lp",
+           "Fex_c", "Fex_dpto"]
+SCALED = NUMBERS
 
 
-@query(with_tables("select id, " + ", ".join(f"round(({n}-a_{n})/s_{n},6) as {n}" for n in SCALED) + " from test, (select "
+@query(with_tables("select id, " + ", ".join(f"round(({n}-a_{n})/case when s_{n}=0 then 1 else s_{n} end,6) as {n}"
+                                             for n in SCALED) + " from test, (select "
                    + ", ".join(f"avg({n}) as a_{n}, stddev_pop({n}) as s_{n}" for n in SCALED) + " from train)"))
 def standard_scale(s: Survey) -> DataFrame:
     fitted = e.fit_scale(s.train, SCALED)
@@ -149,7 +153,7 @@ def onehot_drop_first(s: Survey) -> DataFrame:
     return e.onehot_columns(test, {n: e.fit_levels(train, n) for n in ("P5090", "pension_status")}, drop_first=True)
 
 
-PIPED = ["P5000", "P5010", "P5100", "Nper", "Fex_c"]
+PIPED = [n for n in NUMBERS if n != "Clase"]
 PIPED_TEXT = ["Dominio", "pension_status", "Clase"]
 LEVEL_SQL = ", ".join(f"(select l from (select distinct v, dense_rank() over (order by v)-1 as l from (select "
                       f"coalesce(cast({n} as varchar),'missing') as v from enhanced where part='train')) q "
@@ -176,12 +180,8 @@ def preprocess_pipeline(s: Survey) -> DataFrame:
 
 # ---- preparation ----------------------------------------------------------------------
 
-NUMBERS = ["Clase", "Depto", "P5000", "P5010", "P5090", "P5100", "P5130", "P5140", "Nper", "Npersug", "Li", "Lp",
-           "Fex_c", "Fex_dpto"]
-
-
 def _prepared(label: str) -> str:
-    filled = ", ".join(f"round(coalesce({n},m_{n}),6) as {n}" for n in [*NUMBERS, "ratio"])
+    filled = ", ".join(f"round(coalesce({n},m_{n}),6) as {n}" for n in NUMBERS)
     return f"""select id, Dominio, {filled}, {label} as Pobre, part from hogares, {_medians(NUMBERS)}"""
 
 
@@ -205,16 +205,13 @@ def ready_checks(s: Survey) -> DataFrame:
     return pr.ready_checks(rows)
 
 
-READY = ["P5000", "P5010", "Li", "Pobre", "pension_status", "is_female_headed", "mean_age_household",
-         "has_pensioner", "main_insurance_type", "num_under_18"]
-READY_SQL = ", ".join(
-    f"coalesce({n},'0') as {n}" if n == "pension_status" else f"coalesce({n},false) as {n}"
-    if n == "is_female_headed" else f"coalesce({n},0) as {n}" for n in READY)
+READY = [n for n in ENHANCED_NAMES if n not in ("part", *LEAKY, *SPARSE)]
+READY_SQL = ", ".join(filled_sql(n) for n in READY)
 
 
 @query(with_tables(f"select id, {READY_SQL} from ({ENHANCED_SQL}) where part='train'"))
 def ready_table(s: Survey) -> DataFrame:
-    rows = ft.enhance(s.households, s.persons)
+    rows = c.replace_infinite(ft.enhance(s.households, s.persons), ["dependency_ratio"])
     train = rows.filter("part = 'train'").drop("part")
     test = c.drop_columns(rows.filter("part = 'test'"), ["part", LABEL, *LEAKY])
-    return rounded(pr.ready_table(train, test).select("id", *READY), "mean_age_household")
+    return rounded(pr.ready_table(train, test), *FRACTIONS)

@@ -10,7 +10,7 @@ from hearthspark.operators import features as ft
 from hearthspark.operators import joins as j
 from hearthspark.operators import ordering as o
 from hearthspark.operators import profile as p
-from hearthspark.plans.feature_queries import ENHANCED_SQL, SECOND_SET_SQL, rounded
+from hearthspark.plans.feature_queries import ENHANCED_SQL, FRACTIONS, SECOND_SET_SQL, rounded
 from hearthspark.plans.registry import query, with_tables
 from hearthspark.session import fresh_path
 from hearthspark.sources.files import read_csv, write_csv
@@ -118,22 +118,22 @@ def fill_constant(s: Survey) -> DataFrame:
     return c.fill_constant(s.persons.select("id", *NULLABLE), {n: 0 for n in NULLABLE})
 
 
-def _filled(name: str) -> str:
-    if name == "pension_status":
-        return "coalesce(pension_status,'0') as pension_status"
+def filled_sql(name: str) -> str:
+    if name in ("pension_status", "Dominio", "part"):
+        return f"coalesce({name},'0') as {name}"
     if name in ("is_female_headed", "has_health_insurance"):
         return f"coalesce({name},false) as {name}"
     return f"coalesce({name},0) as {name}"
 
 
-FILL_NAMES = ["P5100", "pension_status", "is_female_headed", "has_health_insurance", "mean_age_household",
-              "has_pensioner", "prop_pensioners", "main_insurance_type", "household_size"]
+ENHANCED_NAMES = [n for n in HOUSEHOLD_COLUMNS if n != "id"] + [f.name for f in ft.first_set()]
 
 
-@query(with_tables(f"select id, {', '.join(_filled(n) for n in FILL_NAMES)} from ({ENHANCED_SQL})"))
+@query(with_tables(f"select id, {', '.join(filled_sql(n) for n in ENHANCED_NAMES)} from ({ENHANCED_SQL})"))
 def fill_all(s: Survey) -> DataFrame:
-    enhanced = ft.enhance(s.households, s.persons).select("id", *FILL_NAMES)
-    return rounded(c.fill_all(enhanced), "mean_age_household", "prop_pensioners")
+    """Every column of the widened households, an infinite ratio counting as missing."""
+    enhanced = c.replace_infinite(ft.enhance(s.households, s.persons), ["dependency_ratio"])
+    return rounded(c.fill_all(enhanced), *FRACTIONS)
 
 
 @query(with_tables("select id, round(Fex_c/1e6,12) as Fex_c, round(Li/1e6,12) as Li from hogares"))
@@ -198,7 +198,7 @@ def infinite_total(s: Survey) -> DataFrame:
     return p.infinite_total(features, c.fractional_names(features))
 
 
-DESCRIBED = ["P6040", "P6210", "P6240", "P6800", "P6920", "P7495"]
+DESCRIBED = [n for n in PERSON_COLUMNS if n != "id"]
 
 
 @query(with_tables(" union all ".join(
