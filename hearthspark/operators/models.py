@@ -36,6 +36,7 @@ from hearthspark.sources.survey import LABEL
 FOREST_TREES = 500
 ADVERSARIAL_TREES = 100
 BOOST = {"depth": 6, "rate": 0.1, "rounds": 500, "row_share": 0.8, "column_share": 0.8}
+PATIENCE = 10
 TUNED_BOOST = {"depth": 15, "rate": 0.08033620527180446, "rounds": 210, "row_share": 0.6432694972867776,
                "column_share": 0.5509301191523459}
 HIDDEN_LAYERS = (128, 64, 32)

@@ -85,7 +85,7 @@ def gbt_predict(s: Survey) -> DataFrame:
 @query()
 def gbt_early_stop(s: Survey) -> DataFrame:
     train, test, names = tr.modelling_tables(s)
-    scorer = tr.boost_with_validation(train, names, rounds=2 * ROUNDS, depth=4, categories=tr.categories(train))
+    scorer = tr.boost_with_patience(train, names, rounds=2 * ROUNDS, depth=4, categories=tr.categories(train))
     return scorer.predict(test).withColumn("rounds", F.lit(scorer.model.getNumTrees))
 
 

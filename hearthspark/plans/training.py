@@ -182,6 +182,39 @@ def boost_with_validation(train: DataFrame, names: Sequence[str], label: str = L
     return md.fit_scorer(rows, estimator, names, label, weights, extra=["is_validation"], categories=categories)
 
 
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """Rounds to keep: up to the lowest loss before ``patience`` rounds in a row brought no lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def boost_with_patience(train: DataFrame, names: Sequence[str], label: str = LABEL, seed: int = 42,
+                        share: float = 0.8, patience: int = md.PATIENCE, rounds: int = md.BOOST["rounds"],
+                        categories: Sequence[str] = (), **settings) -> md.Scorer:
+    """Boosting that ends after ``patience`` rounds without gain on held-out rows, and keeps the best round.
+
+    The loss of every round comes from one evaluation of the whole model; the
+    same seed then gives the same trees up to the round kept.
+    """
+    marked = materialize(sm.split_stratified(train, "id", label, share, seed))
+    rows, held = (marked.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
+    weights = sm.class_weights(rows, label)
+
+    def fit(n: int) -> md.Scorer:
+        return md.fit_scorer(rows, md.boosted(rounds=n, **settings), names, label, weights, categories=categories)
+
+    whole = fit(rounds)
+    weighted = sm.with_weights(held, weights, label)
+    losses = whole.model.evaluateEachIteration(md.training_rows(whole, weighted, ["weight"]))
+    kept = best_round(list(losses), patience)
+    return whole if kept == rounds else fit(kept)
+
+
 # ---- stacking ---------------------------------------------------------------------------
 
 @dataclass(frozen=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,9 +16,11 @@ from hearthspark.operators import features as ft
 from hearthspark.operators import impute as i
 from hearthspark.operators import joins as j
 from hearthspark.operators import metrics as m
+from hearthspark.operators import models as md
 from hearthspark.operators import profile as p
 from hearthspark.operators import sampling as sm
 from hearthspark.plans import prepare as pr
+from hearthspark.plans import training as tr
 
 NULL = None
 
@@ -219,3 +222,30 @@ def test_class_weights_and_ratio(spark):
 def test_split_by_draw_is_near_the_asked_share(survey):
     got = sm.split_by_draw(survey.households.select("id"), "id", 0.8).filter("split = 'train'").count()
     assert abs(got / survey.households.count() - 0.8) < 0.05
+
+
+def test_patience_keeps_the_best_round():
+    assert tr.best_round([5, 4, 3, 3, 3, 2, 9], 2) == 3
+    assert tr.best_round([5, 4, 3, 3, 2.5, 2, 9], 2) == 6
+    assert tr.best_round([1, 2, 3, 4], 10) == 1
+    assert tr.best_round([3, 2, 1], 1) == 3
+    assert tr.best_round([1, 1, 0], 1) == 1
+
+
+def test_recode_gives_labels_to_codes(spark):
+    rows = spark.createDataFrame([(1,), (2,), (9,), (NULL,)], "k int")
+    found = [r["l"] for r in c.recode(rows, "k", {1: "one", 2: "two"}, "l").collect()]
+    assert found == ["one", "two", NULL, NULL]
+
+
+def test_scorer_takes_categories_and_loads_again(spark, tmp_path):
+    draw = random.Random(1)
+    rows = [(i, draw.choice("ab"), draw.random()) for i in range(400)]
+    table = spark.createDataFrame([(i, k, x, int(k == "a")) for i, k, x in rows], "id long, k string, x double, Pobre int")
+    scorer = md.fit_scorer(table, md.elastic_logistic(0.0, 0.01), ["x"], categories=["k"])
+    assert scorer.inputs == ["x", "k_a", "k_b"]
+    scorer.save(spark, str(tmp_path / "scorer"))
+    again = md.Scorer.load(spark, str(tmp_path / "scorer"))
+    new = spark.createDataFrame([(1, "a", 0.5), (2, "b", 0.5), (3, "z", 0.5), (4, NULL, 0.5)], "id long, k string, x double")
+    got = {r["id"]: r["score"] for r in again.predict(new).collect()}
+    assert got[1] > 0.9 and got[2] < 0.1 and got[3] == got[4]
