@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -228,7 +229,7 @@ def search(index: DataFrame, rows: Sequence[tuple[str, bytes]], window: int, pro
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows.of(sent.value, window)
         terms = pa.array(windows.terms, pa.binary())
-        names = np.array([item for item in windows.items], dtype=object)
+        names = np.array(windows.items, dtype=object)
         for batch in batches:
             for i in range(batch.num_rows):
                 part = batch.slice(i, 1)
@@ -318,15 +319,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
     with the same item_id are one item. Every row of ``docs`` is a document.
     """
     index = build_index(docs, text, key).df
-    found: DataFrame | None = None
-    for i, rows in enumerate(item_blocks(benchmark, block_bytes)):
-        part = search(index, rows, window, proximity, everything=i == 0)
-        found = part if found is None else found.unionByName(part)
-        if i:
-            continue
-    if found is None:
-        raise ValueError("there is always a first block")
-    if i:
+    # The first block's pass gives all documents, the others those with a match.
+    passes = [search(index, rows, window, proximity, everything=i == 0)
+              for i, rows in enumerate(item_blocks(benchmark, block_bytes))]
+    found = reduce(DataFrame.unionByName, passes)
+    if len(passes) > 1:
         found = found.groupBy("shard", "place").agg(
             F.first("key").alias("key"), F.first("n_words").alias("n_words"),
             *[F.flatten(F.collect_list(name)).alias(name) for name in ("spans", "items", "near_items")])

@@ -42,7 +42,7 @@ BYTE_PATTERN = re.compile(
 BEYOND = re.compile("[^\x00-įı-ſ]")
 
 # Entries of a generation of a worker's cache.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 300_000
 # New pre-tokens encoded as one text.
 GROUP = 4096
 # Pre-tokens of the broadcast table.
@@ -67,7 +67,7 @@ class PreTokens:
         self.special = [added.content for added in tokenizer.get_added_tokens_decoder().values()]
 
     def __call__(self, text: str) -> list[str] | None:
-        if BEYOND.search(text) or any(special in text for special in self.special):
+        if not text.isascii() and BEYOND.search(text) or any(special in text for special in self.special):
             return None
         return self.find(text.lower() if self.lower else text)
 
