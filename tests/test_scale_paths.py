@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -18,6 +22,7 @@ from hearthspark.operators import sampling as sm
 from hearthspark.plans import training as tr
 from hearthspark.session import fresh_path, materialize, scratch, shared_dir
 from hearthspark.sources import files
+from tests.conftest import SMALL
 
 
 def brute_neighbours(points: dict[int, list[float]], k: int) -> dict[int, list[tuple[int, float]]]:
@@ -259,3 +264,15 @@ def test_scratch_deletes_its_stages(spark):
         assert materialize(spark.range(5)).count() == 5
         assert files.path_exists(spark, folder) and shared_dir(spark) == folder
     assert not files.path_exists(spark, folder) and shared_dir(spark) == outer
+
+
+def test_tasks_find_the_package_from_any_folder(tmp_path):
+    """A driver started elsewhere, with the package on its own path alone."""
+    root = Path(__file__).resolve().parent.parent
+    program = (f"import sys; sys.path.insert(0, {str(root)!r})\n"
+               "from hearthspark.session import local_session\nfrom hearthspark.plans.catalog import all_queries\n"
+               f"print('rows', all_queries()['knn_minority'](local_session(2), {SMALL!r}).count())")
+    env = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, env=env, capture_output=True, text=True,
+                          timeout=300)
+    assert "rows" in done.stdout, done.stderr[-2000:]
