@@ -70,7 +70,7 @@ def elasticnet_logistic(s: Survey) -> DataFrame:
 @query()
 def elasticnet_grid(s: Survey) -> DataFrame:
     train, _, names = tr.modelling_tables(s)
-    results, _ = tr.elastic_grid(train, names, alphas=[0.05, 0.5, 0.95], penalties=[0.1, 1.0], k=5)
+    results, _ = tr.elastic_grid(train, names)
     return results
 
 

@@ -249,3 +249,24 @@ def test_scorer_takes_categories_and_loads_again(spark, tmp_path):
     new = spark.createDataFrame([(1, "a", 0.5), (2, "b", 0.5), (3, "z", 0.5), (4, NULL, 0.5)], "id long, k string, x double")
     got = {r["id"]: r["score"] for r in again.predict(new).collect()}
     assert got[1] > 0.9 and got[2] < 0.1 and got[3] == got[4]
+
+
+def test_elastic_grid_from_products_is_the_fit_on_rows(spark):
+    draw = random.Random(3)
+    rows = []
+    for i in range(300):
+        a, b = draw.gauss(0, 1), draw.gauss(2, 3)
+        rows.append((i, a, b, a + draw.gauss(0, 0.5), 1.0, float(a + 0.1 * b + draw.gauss(0, 1) > 0)))
+    names = ["a", "b", "c", "flat"]
+    table = spark.createDataFrame(rows, "id long, a double, b double, c double, flat double, Pobre double")
+    alphas, penalties, k = [0.05, 0.5, 0.95], [0.01, 0.1, 0.3, 2.0], 3
+    grid = {(r["alpha"], r["penalty"]): r["metric"] for r in tr.elastic_grid(table, names, alphas, penalties, k)[0].collect()}
+    assert len(grid) == 12
+    folded = sm.folds(table, "id", k, seed=42).cache()
+    for alpha, penalty in ((0.05, 0.01), (0.5, 0.1), (0.95, 0.3), (0.5, 2.0)):
+        errors = []
+        for fold in range(k):
+            scorer = md.fit_scorer(folded.filter(F.col("fold") != fold), md.elastic_linear(alpha, penalty), names)
+            scored = scorer.score(folded.filter(F.col("fold") == fold), ["Pobre"]).collect()
+            errors.append(math.sqrt(sum((r["score"] - r["Pobre"]) ** 2 for r in scored) / len(scored)))
+        assert grid[alpha, penalty] == pytest.approx(sum(errors) / k, abs=1e-4)
