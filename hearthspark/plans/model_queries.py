@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hearthspark.operators import metrics as m
 from hearthspark.operators import models as md
 from hearthspark.operators import sampling as sm
+from hearthspark.operators.encode import apply_scale
 from hearthspark.plans import training as tr
 from hearthspark.plans.registry import query, with_tables
 from hearthspark.session import fresh_path, materialize
@@ -54,7 +55,7 @@ def split_importance(s: Survey) -> DataFrame:
 
 @query()
 def rf_cross_validate(s: Survey) -> DataFrame:
-    train, _, names = tr.modelling_tables(s)
+    train, _, names = tr.modelling_tables(s, filled=False)
     checked, _ = tr.forest_flow(train, names, trees=20, k=5)
     return m.fold_summary(checked.per_fold, ["auc", "precision", "recall", "f1"])
 
@@ -105,13 +106,16 @@ def adversarial_confusion(s: Survey) -> DataFrame:
 
 @query()
 def stacking_predict(s: Survey) -> DataFrame:
+    """Two learners stacked on training rows scaled and brought to parity by SMOTE; the cut-off from held-out rows."""
     train, test, names = tr.modelling_tables(s)
     split = materialize(sm.split_stratified(train, "id", LABEL, 0.8, SEED))
-    texts = tr.categories(train)
-    learners = [_boost(names, texts, 5, 5), _boost(names, texts, 3, 5, 7)]
-    stack = tr.fit_stack(split.filter("split = 'train'"), learners, k=5)
-    threshold = tr.tune_threshold(stack.score(split.filter("split = 'test'"), ["id", LABEL]))
-    return m.apply_cutoff(stack.score(test), threshold, op=">=")
+    fitted = split.filter("split = 'train'")
+    scale = md.fit_inputs(fitted, names).scale
+    balanced = materialize(tr.smote_rows(apply_scale(fitted, scale), names))
+    stack = tr.fit_stack(balanced, [_boost(names, [], 5, 5), _boost(names, [], 3, 5, 7)], k=5)
+    held = apply_scale(split.filter("split = 'test'"), scale)
+    threshold = tr.tune_threshold(stack.score(held, ["id", LABEL]))
+    return m.apply_cutoff(stack.score(apply_scale(test, scale)), threshold, op=">=")
 
 
 @query()

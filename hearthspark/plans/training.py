@@ -40,17 +40,20 @@ SEARCH_RUNS = 20
 Fit = Callable[[DataFrame], md.Scorer]
 
 
-def modelling_tables(s: Survey, no_ratio: float = 0.0) -> tuple[DataFrame, DataFrame, list[str]]:
+def modelling_tables(s: Survey, no_ratio: float = 0.0, filled: bool = True
+                     ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Ready train and test tables, written once, and the numeric feature names.
 
-    ``no_ratio`` stands for the dependency ratio of a household without members of working age.
+    With ``filled`` off missing cells stay, for flows that fit their fills on
+    each fold. ``no_ratio`` stands for the dependency ratio of a household without members of working age.
     """
     rows = materialize(ft.enhance(s.households, s.persons))
     train = rows.filter("part = 'train'").drop("part")
     test = rows.filter("part = 'test'").drop("part", LABEL, *LEAKY)
 
     def finish(df: DataFrame, other: DataFrame) -> DataFrame:
-        ready = ready_table(df, other)
+        keep = [LABEL] if LABEL in df.columns else []
+        ready = ready_table(df, other) if filled else c.drop_columns(c.common_columns(df, other, keep=keep), LEAKY)
         return c.replace_infinite(ready, ["dependency_ratio"], no_ratio)
 
     ready_train, ready_test = materialize(finish(train, test)), materialize(finish(test, train))
@@ -76,6 +79,12 @@ def fit_on_smote(rows: DataFrame, estimator: Estimator, names: Sequence[str], la
     return replace(inputs, model=estimator.copy({estimator.labelCol: label}).fit(ready))
 
 
+def smote_rows(scaled: DataFrame, names: Sequence[str], label: str = LABEL, key: str = "id", seed: int = 42) -> DataFrame:
+    """Rows brought to parity by SMOTE, with a key made of their values: equal rows fall into one fold."""
+    balanced = smote(scaled.select(key, label, *names), key, label, names, seed=seed)
+    return balanced.withColumn(key, F.xxhash64("synthetic", *names)).drop("synthetic")
+
+
 # ---- cross-validation -------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -111,13 +120,17 @@ def cross_validate(train: DataFrame, fit: Fit, k: int = 5, key: str = "id", labe
 
 
 def forest_flow(train: DataFrame, names: Sequence[str], trees: int = md.FOREST_TREES, k: int = 5,
-                threshold: float = 0.5, seed: int = 42) -> tuple[CrossValidated, md.Scorer]:
-    """Cross-validate an undersampled forest, then fit it on all undersampled rows."""
+                threshold: float = 0.5, seed: int = 42, impute: bool = True) -> tuple[CrossValidated, md.Scorer]:
+    """Cross-validate an undersampled forest, then fit it on all undersampled rows.
+
+    Medians for missing cells are those of the rows a fit gets: no fold's own
+    values fill its cells.
+    """
     texts = categories(train)
 
     def fit(rows: DataFrame) -> md.Scorer:
         return md.fit_scorer(rows, md.forest(trees, seed=seed), names, scale=False, threshold=threshold,
-                             categories=texts)
+                             categories=texts, impute=impute)
 
     def balance(rows: DataFrame) -> DataFrame:
         return materialize(sm.undersample(rows, "id", LABEL, seed))
