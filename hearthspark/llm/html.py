@@ -41,8 +41,8 @@ ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td"
 SCOPES = frozenset("html body article main section div td th table ul ol dl blockquote nav header footer aside form".split())
 CONTAINERS = frozenset("body article main section div td".split())
 
-# Share of the selected text that makes an article, or else another container, the page's main part.
-ARTICLE_SHARE, CONTAINER_SHARE = 0.5, 0.75
+# Characters a tag from which on a line is prose on any page, however long the page's longest paragraphs are.
+PROSE = 40.0
 SIGMA = 1.0
 
 
@@ -51,18 +51,20 @@ class Blocks(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.parents, self.names, self.hidden = [0], [""], [False]
+        self.parents, self.names, self.hidden, self.linked = [0], [""], [False], [False]
         self.open = [0]
-        self.lines: list[tuple[int, str, int]] = []
+        # Box, text, tags before its end, and whether it has text outside links.
+        self.lines: list[tuple[int, str, int, bool]] = []
         self.pieces: list[str] = []
-        self.tags = 0
+        self.tags, self.own = 0, False
 
     def end_line(self) -> None:
         text = " ".join("".join(self.pieces).split())
         if text:
-            self.lines.append((self.open[-1], text, self.tags))
+            self.lines.append((self.open[-1], text, self.tags, self.own))
             self.tags = 0
         self.pieces.clear()
+        self.own = False
 
     def shut(self, names: Sequence[str], within: frozenset[str]) -> None:
         """End the innermost open element of these names, without leaving an element of ``within``."""
@@ -75,19 +77,22 @@ class Blocks(HTMLParser):
                 return
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.tags += 1
         if tag not in INLINE and tag not in ("br", "wbr", "img"):
             self.end_line()
             self.shut(("p", *ENDS.get(tag, ())), SCOPES - {"td", "th"} if tag in ENDS else SCOPES)
+        above = self.open[-1]
         if tag in VOID:
+            self.tags += not self.hidden[above]
             if tag == "br":
                 self.pieces.append(" ")
             return
-        above = self.open[-1]
         self.parents.append(above)
         self.names.append(tag)
         self.hidden.append(self.hidden[above] or self.marks_surroundings(tag, attrs))
+        self.linked.append(tag == "a" or self.linked[above])
         self.open.append(len(self.names) - 1)
+        # Tags of surroundings don't thin out the text behind them.
+        self.tags += not self.hidden[-1]
 
     def marks_surroundings(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in LEFT_OUT:
@@ -103,7 +108,7 @@ class Blocks(HTMLParser):
         return False
 
     def handle_endtag(self, tag: str) -> None:
-        self.tags += 1
+        self.tags += not self.hidden[self.open[-1]]
         if tag in INLINE:
             self.shut((tag,), SCOPES | {"p", "li"})
             return
@@ -113,6 +118,7 @@ class Blocks(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.hidden[self.open[-1]]:
             self.pieces.append(data)
+            self.own = self.own or not self.linked[self.open[-1]] and not data.isspace()
 
     def unknown_decl(self, data: str) -> None:
         """A marked section, such as CDATA in a page of XML, is markup."""
@@ -152,9 +158,11 @@ def main_lines(page: str) -> list[str]:
     """The blocks of the main part of a page, in page order.
 
     Lines above the threshold of the smoothed text-to-tag ratios select the
-    content. The region is the article (or else the innermost container) that
-    holds most of the selected text, and all its lines belong to it: a short
-    paragraph within an article stays, whatever its own ratio.
+    content. The region is the smallest container that holds all text whose
+    own ratio is above it too, or the outermost article or main around that;
+    all its lines stay, whatever their ratio. Of what stands outside, these
+    stay: lines that are selected or lie directly in a container around the
+    region, mere links apart, and the headings right before the region.
     """
     parser = Blocks()
     parser.feed(page)
@@ -164,25 +172,42 @@ def main_lines(page: str) -> list[str]:
     lines = [x for x in parser.lines if not in_heading_block(x[0], names, parents)]
     if not lines:
         return []
-    lengths = np.array([len(text) for _, text, _ in lines], dtype=float)
-    smooth = smoothed(lengths / np.maximum(1, [tags for _, _, tags in lines]))
-    selected = smooth >= threshold(smooth)
-    mass = np.zeros(len(names))
-    for (box, _, _), length, taken in zip(lines, lengths, selected, strict=True):
-        mass[box] += length * taken
+    ratios = np.array([len(text) / max(1, tags) for _, text, tags, _ in lines])
+    own = np.array([alone for *_, alone in lines])
+    smooth = smoothed(ratios)
+    border = threshold(smooth)
+    selected = smooth >= border
+    # A short line beside long ones is selected with them, but doesn't widen the region.
+    spanning = own & (ratios >= min(border, PROSE))
+    held = [0] * len(names)
+    for (box, *_), spans in zip(lines, (spanning if spanning.any() else selected).tolist(), strict=True):
+        held[box] += spans
     for box in range(len(names) - 1, 0, -1):
-        mass[parents[box]] += mass[box]
-    chosen = 0
-    for kinds, share in ((("article", "main"), ARTICLE_SHARE), (CONTAINERS, CONTAINER_SHARE)):
-        # A later box lies deeper or beside; of nested ones the last is the innermost.
-        fit = [i for i, name in enumerate(names) if name in kinds and mass[i] >= share * mass[0]]
-        if fit:
-            chosen = fit[-1]
-            break
-    inside = [False] * len(names)
-    for box in range(len(names)):
-        inside[box] = box == chosen or inside[parents[box]]
-    return [text for box, text, _ in lines if inside[box]]
+        held[parents[box]] += held[box]
+    # The boxes that hold all of them are nested; the last is the innermost.
+    region = max(box for box, n in enumerate(held) if n == held[0])
+    while region and names[region] not in CONTAINERS:
+        region = parents[region]
+    around = {0, region}
+    box = region
+    while box:
+        box = parents[box]
+        around.add(box)
+        if names[box] in ("article", "main"):
+            region = box
+    inside, container, headed = [not region], [0], [False]
+    for box in range(1, len(names)):
+        above = parents[box]
+        inside.append(box == region or inside[above])
+        container.append(box if names[box] in CONTAINERS else container[above])
+        headed.append(names[box] in HEADINGS or headed[above])
+    kept = [inside[box] or alone and (taken or container[box] in around)
+            for (box, _, _, alone), taken in zip(lines, selected.tolist(), strict=True)]
+    before = next(i for i, (box, *_) in enumerate(lines) if inside[box]) - 1
+    while before >= 0 and headed[lines[before][0]]:
+        kept[before] = True
+        before -= 1
+    return [line[1] for line, stays in zip(lines, kept, strict=True) if stays]
 
 
 def in_heading_block(box: int, names: Sequence[str], parents: Sequence[int]) -> bool:

@@ -73,3 +73,29 @@ def test_cluster_threshold():
     assert 2 < threshold(np.array([1.0, 1.0, 9.0, 10.0])) < 9
     assert threshold(np.array([3.0])) == 3
     assert np.allclose(smoothed(np.ones(5)), 1)
+
+
+LONG = "A paragraph of the text that is long enough to be prose on any page, with several clauses, one after the other. "
+
+
+@pytest.mark.parametrize("body", [
+    "<main><h1>Title</h1><p>Lead.</p><article><p>{0}</p><p>{1}</p></article><p>{2}</p></main>",
+    "<main><article><p>{0}</p></article><article><p>{1}</p><p>Short.</p></article></main>",
+    "<article><p>{0}</p><article><p>{1}</p><p>{2}</p></article><p>Short.</p></article>",
+    "<div><div><p>{0}</p><p>{1}</p><p>{2}</p></div><div><p>{3}</p></div><div><p>End.</p></div></div>",
+    "<section><h2>One</h2><p>{0}</p></section><section><p>Short.</p></section><section><h2>Two</h2><p>{1}</p></section>",
+    "<h1>Title</h1><p>By someone</p><article><p>{0}</p><p>{1}</p></article>",
+    "<div class=title><h1>Title</h1></div><div><p>{0}</p><p>{1}</p></div>",
+    "<div><p>{4}</p></div><div><p>{0}</p><p>{1}</p></div>",
+])
+def test_every_content_region_stays(body):
+    body = body.format(*[f"{i} {LONG * (i + 1)}" for i in range(4)], LONG * 60)
+    blocks = [" ".join(block.split()) for block in re.sub("</?[a-z0-9= ]+>", "\n", body).split("\n")]
+    menu = "<nav><ul>" + "<li><a>One</a></li>" * 40 + "</ul></nav>"
+    page = f"<body>{menu}{body}<div class=comments><p>{LONG}</p></div><footer>us</footer></body>"
+    assert main_text(page).split("\n") == [block for block in blocks if block]
+
+
+def test_links_outside_the_region_are_left_out():
+    page = f"<ul><li><a>One</a><li><a>Two</a></ul><div><ul><li><a>Top</a></ul></div><div><p>{LONG * 3}</p><p><a>More</a></p></div>"
+    assert main_text(page).split("\n") == [(LONG * 3).strip(), "More"]
