@@ -45,8 +45,9 @@ BEYOND = re.compile("[^\x00-įı-ſ]")
 CACHE_ENTRIES = 300_000
 # New pre-tokens encoded as one text.
 GROUP = 4096
-# Pre-tokens of the broadcast table.
+# Pre-tokens of the broadcast table, and the bytes one of them may have.
 FREQUENT = 32_768
+FREQUENT_BYTES = 64
 # Steps of the histogram of counts for each doubling.
 STEPS = 16
 
@@ -149,7 +150,7 @@ def encode_ids(tokenizer: Tokenizer, text: str) -> list[int]:
 
 
 def frequent_pre_tokens(docs: DataFrame, text: str, name: str, most: int = FREQUENT) -> list[str]:
-    """The most frequent pre-tokens over all texts, found without a shuffle of pre-tokens.
+    """The most frequent pre-tokens of at most FREQUENT_BYTES over all texts, found without a shuffle of pre-tokens.
 
     Each task counts its pre-tokens in a table that is cut back to the
     ``most`` commonest whenever it holds four times as many, and gives at most
@@ -165,7 +166,8 @@ def frequent_pre_tokens(docs: DataFrame, text: str, name: str, most: int = FREQU
         for batch in batches:
             for part in parts(batch, 0):
                 for data in texts(part.column(0)):
-                    counts.update(cut_text(data.decode()) or ())
+                    counts.update(token for token in cut_text(data.decode()) or ()
+                                  if len(token) <= FREQUENT_BYTES and len(token.encode()) <= FREQUENT_BYTES)
                 if len(counts) > 4 * most:
                     counts = Counter(dict(counts.most_common(most)))
         kept = counts.most_common(most)
@@ -219,19 +221,19 @@ def count_tokens(docs: DataFrame, name: str = "word_bpe_49k.json", limit: int =
     """``keep``, and for every text: n_bytes, n_tokens, over_limit (more than ``limit`` tokens).
 
     Two tiers on the map side: a broadcast table holds the lengths of at most
-    ``frequent`` common pre-tokens (bounded, about 1 MB), and each worker
-    encodes what it lacks through a bounded cache. No pre-token is shuffled. A
+    ``frequent`` common pre-tokens (short ones, so about 2 MB at most), and each
+    worker encodes what it lacks through a bounded cache. No pre-token is shuffled. A
     null or empty text has no bytes and no tokens; a text of any length is
     counted whole.
     """
     tokens = frequent_pre_tokens(docs, text, name, frequent)
     common = docs.sparkSession.sparkContext.broadcast(
-        ("\n".join(tokens), np.array(lengths(load(name), tokens), dtype=np.uint16).tobytes()))
+        ("\n".join(tokens), np.array(lengths(load(name), tokens), dtype=np.uint32).tobytes()))
 
     def state() -> tuple[Tokenizer, PreTokens, Remembered]:
         tokenizer = load(name)
         names, sizes = common.value
-        first = dict(zip(names.split("\n"), np.frombuffer(sizes, np.uint16).tolist(), strict=True)) if sizes else {}
+        first = dict(zip(names.split("\n"), np.frombuffer(sizes, np.uint32).tolist(), strict=True)) if sizes else {}
         return tokenizer, PreTokens(tokenizer, WORD_PATTERN, lower=True), Remembered(new_lengths(tokenizer), first)
 
     key = "lengths", name, uuid.uuid4().hex

@@ -46,6 +46,15 @@ def test_counts_are_the_librarys(spark):
     assert tokens.count_tokens(docs.limit(0)).count() == 0
 
 
+def test_repeated_long_run_of_letters(spark):
+    run = "".join(random.Random(2).choices("abcdefghijklmnopqrstuvwxyz", k=130_000))
+    docs = documents(spark, [(i, f"{run} and more") for i in range(6)])
+    expected = len(tokens.load("word_bpe_49k.json").encode(f"{run} and more", add_special_tokens=False).ids)
+    assert expected > 65_535
+    assert [r["n_tokens"] for r in tokens.count_tokens(docs).collect()] == [expected] * 6
+    assert tokens.frequent_pre_tokens(docs, "text", "word_bpe_49k.json") == ["and", "more"]
+
+
 def test_counts_of_all_given_documents(spark):
     docs = given(spark, "documents").collect()
     library = tokens.load("word_bpe_49k.json").encode_batch([r["text"] or "" for r in docs], add_special_tokens=False)
