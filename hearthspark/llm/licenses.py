@@ -120,7 +120,14 @@ class Scanner:
         for low, high in joined:
             # A window ends with whole words.
             last = line.find(" ", high)
-            for match in pattern.finditer(line, max(0, line.rfind(" ", 0, low + 1)), last + 1 or len(line)):
+            parts = [(max(0, line.rfind(" ", 0, low + 1)), last + 1 or len(line))]
+            while parts:
+                first, stop = parts.pop()
+                # The best match need not be the first one: the parts before and behind it are searched too.
+                match = pattern.search(line, first, stop)
+                if not match or match.start() == match.end():
+                    continue
+                parts += [(a, b) for a, b in ((first, match.start()), (match.end(), stop)) if a < b]
                 changed = sum(match.fuzzy_counts)
                 start = line.count(" ", 0, match.start()) - (line[match.start()] != " ")
                 end = line.count(" ", 0, match.end()) - (line[match.end() - 1] == " ")

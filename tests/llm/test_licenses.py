@@ -73,3 +73,12 @@ def test_no_match_within_the_budget_is_missed():
         labels = {scanner.notices[number][1] for number in whole}
         found = {match.label for match in scanner.scan(text.encode())[2]}
         assert found <= labels and bool(found) == bool(labels)
+
+
+def test_edited_notice_before_a_better_one():
+    def found(text):
+        return [(m.label, m.start, m.end, m.edits) for m in Scanner().scan(text)[2]]
+
+    assert found(b"licensd under the mit license licensed under the mit license") == [("mit", 0, 5, 1), ("mit", 5, 10, 0)]
+    assert found(b"creatve commons attribution creative commons attribution noncommercial") == [
+        ("cc-by", 0, 3, 1), ("cc-by-nc", 3, 7, 0)]
