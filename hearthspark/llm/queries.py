@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hearthspark.llm import (
-    decontaminate, html, langid, licenses, linededup, neighbours, packing, quality, simhash, tokens,
+    alignment, decontaminate, html, langid, licenses, linededup, neighbours, packing, phrases, pieces, quality, simhash,
+    tokens,
 )
 from hearthspark.llm.common import table
 
@@ -56,6 +57,18 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokens(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_decode(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     name: f for name, f in globals().items() if name.startswith("op") and callable(f)
 }
@@ -119,4 +132,45 @@ select d.doc_id, len(d.words) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesc
 from doc_words d left join hit h using (doc_id) left join named n using (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL, "op9_decontamination": DECONTAMINATION_SQL}
+COLLOCATIONS_SQL = r"""
+with cut as (
+    select coalesce(lang, 'und') as lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                  'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), pieces as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from cut
+), grams as (
+    select lang, m, array_to_string(words[start:start + m - 1], ' ') as phrase
+    from (select lang, words, m, unnest(range(1, len(words) - m + 2)) as start
+          from pieces cross join (values (1), (2), (3)) sizes(m) where len(words) >= m)
+), f as materialized (
+    select lang, m, phrase, count(*)::hugeint as f from grams group by all
+), cands as (
+    select lang, m, phrase, f as a, string_split(phrase, ' ') as words from f where m >= 2 and f >= 10
+), parts as materialized (
+    select lang, m, phrase, a, k, array_to_string(words[1:k], ' ') as head, array_to_string(words[k + 1:m], ' ') as tail
+    from (select *, unnest(range(1, m)) as k from cands)
+), cuts as (
+    select c.lang, c.m, c.phrase, c.a, c.k, l.f as l, r.f as r, 1000000::hugeint * c.a * c.a // (l.f * r.f) as score
+    from parts c join f l on l.lang = c.lang and l.phrase = c.head join f r on r.lang = c.lang and r.phrase = c.tail
+), best as (
+    select *, row_number() over (partition by lang, phrase order by score, k) as place from cuts
+), inner_ as (
+    select lang, array_to_string(words[start:start + 1], ' ') as phrase, max(a) as most
+    from (select lang, words, a, unnest([1, 2]) as start from cands where m = 3) group by all
+), ranked as (
+    select b.lang, b.phrase, b.a, b.l, b.r, b.score,
+           row_number() over (partition by b.lang order by b.score desc, b.a desc, b.phrase) as rank
+    from best b left join inner_ i on b.m = 2 and i.lang = b.lang and i.phrase = b.phrase
+    where b.place = 1 and (i.most is null or 100 * i.most < 50 * b.a)
+), sizes as (
+    select lang, sum(f) as n from f where m = 1 group by lang
+)
+select lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l,
+       cast(r as bigint) as r, cast(n as bigint) as n, cast(score as bigint) as score
+from ranked join sizes using (lang) where rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": LINE_DEDUP_SQL, "op9_decontamination": DECONTAMINATION_SQL,
+                              "op12_collocations": COLLOCATIONS_SQL}
