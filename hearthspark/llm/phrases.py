@@ -25,7 +25,9 @@ TOP = 2000
 NO_LANGUAGE = "und"
 
 # Text of a shard.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
+# Rows handed over at once: what a shard proposes is cut into batches.
+BATCH_ROWS = 50_000
 # Languages whose sizes the shards know; in any other the local support is 1, at which mining is complete as well.
 LANGUAGES = 10_000
 # Bits of a filter for each key in it, at most in all, and those a key sets. Beyond that size more phrases pass and are
@@ -192,7 +194,9 @@ def over_shards(docs: DataFrame, work: Callable[[Shard], dict[str, pa.Array]], s
     def run(batches: Rows) -> Rows:
         for shard in read_shards(batches):
             made = work(shard)
-            yield pa.RecordBatch.from_arrays([made[name] for name in schema.names], names=schema.names)
+            whole = pa.RecordBatch.from_arrays([made[name] for name in schema.names], names=schema.names)
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                yield whole.slice(start, BATCH_ROWS)
 
     return docs.mapInArrow(tidy(run), schema)
 
