@@ -1,4 +1,4 @@
-"""Classifiers for household poverty, fitted by Spark MLlib.
+"""Classifiers for household poverty: MLlib's, and boosted trees and penalty paths of this package.
 
 A ``Scorer`` keeps everything a new table needs: columns, fill values, scale,
 the fitted model and the cut-off. It is fitted once and saved as one folder.
@@ -25,6 +25,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hearthspark.operators.boosting import Boost, BoostedModel, Progress, Tree, fit_boosted
+from hearthspark.operators.elastic import LogisticModel
 from hearthspark.operators.encode import MISSING, fit_levels, fit_scale
 from hearthspark.operators.impute import apply_fill, fit_median
 from hearthspark.operators.metrics import apply_cutoff
@@ -37,8 +39,11 @@ FOREST_TREES = 500
 ADVERSARIAL_TREES = 100
 BOOST = {"depth": 6, "rate": 0.1, "rounds": 500, "row_share": 0.8, "column_share": 0.8}
 PATIENCE = 10
+PATIENT_ROUNDS = 1000
 TUNED_BOOST = {"depth": 15, "rate": 0.08033620527180446, "rounds": 210, "row_share": 0.6432694972867776,
                "column_share": 0.5509301191523459}
+# The second learner of the stack grows best-first to this many leaves, of so many rows and so much weight at least.
+SECOND_LEARNER = {"leaves": 31, "min_rows": 20, "min_weight": 1e-3, "l2": 0.0}
 HIDDEN_LAYERS = (128, 64, 32)
 TUNED_HIDDEN_LAYERS = (256, 128, 32)
 ELASTIC_ALPHA = 0.5
@@ -49,7 +54,7 @@ class Scorer:
     names: list[str]
     fills: dict[str, float]
     scale: dict[str, tuple[float, float]]
-    model: Model
+    model: Model | BoostedModel | LogisticModel
     threshold: float = 0.5
     op: str = ">"
     label: str = LABEL
@@ -87,6 +92,8 @@ class Scorer:
 
     def score(self, df: DataFrame, keep: Sequence[str] = ("id",)) -> DataFrame:
         """``keep`` columns and ``score``: probability of the label, or the regression value."""
+        if isinstance(self.model, (BoostedModel, LogisticModel)):
+            return self.features(df, keep).select(*keep, self.model.probability(F.col("features")).alias("score"))
         scored = self.model.transform(self.features(df, keep))
         probability = "probability" in scored.columns
         value = vector_to_array("probability")[1] if probability else F.col("prediction")
@@ -101,7 +108,10 @@ class Scorer:
     def save(self, spark: SparkSession, path: str) -> None:
         settings = {"names": self.names, "fills": self.fills, "scale": self.scale, "threshold": self.threshold,
                     "op": self.op, "label": self.label, "levels": self.levels}
-        PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
+        if isinstance(self.model, (BoostedModel, LogisticModel)):
+            settings["own"] = self.model.settings()
+        else:
+            PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
         spark.createDataFrame([(json.dumps(settings),)], "settings string").write.mode("overwrite").parquet(
             f"{path}/settings")
 
@@ -109,7 +119,16 @@ class Scorer:
     def load(spark: SparkSession, path: str) -> Scorer:
         settings = json.loads(spark.read.parquet(f"{path}/settings").first()["settings"])
         settings["scale"] = {name: tuple(pair) for name, pair in settings["scale"].items()}
-        return Scorer(model=PipelineModel.load(f"{path}/model").stages[0], **settings)
+        own = settings.pop("own", None)
+        return Scorer(model=own_model(own) if own else PipelineModel.load(f"{path}/model").stages[0], **settings)
+
+
+def own_model(settings: dict) -> BoostedModel | LogisticModel:
+    """A model of this package from what its ``settings`` gave."""
+    kind = settings.pop("kind")
+    if kind == "logistic":
+        return LogisticModel(**settings)
+    return BoostedModel(**{**settings, "trees": [Tree(**tree) for tree in settings["trees"]]})
 
 
 def category(value: Column) -> Column:
@@ -150,6 +169,27 @@ def fit_scorer(train: DataFrame, estimator: Estimator, names: Sequence[str], lab
     return replace(blank, model=chosen.fit(training_rows(blank, weighted, [*extra, "weight"])))
 
 
+def boosting_rows(inputs: Scorer, df: DataFrame, weights: DataFrame | None, held: DataFrame | None, key: str = "id"
+                  ) -> DataFrame:
+    """(key, label, weight, held, features as an array); ``held`` rows are watched only."""
+    def rows(part: DataFrame, is_held: bool) -> DataFrame:
+        weighted = part.withColumn("weight", F.lit(1.0)) if weights is None else with_weights(part, weights, inputs.label)
+        return inputs.features(weighted, [key, inputs.label, "weight"]).select(
+            F.xxhash64(key).alias("key"), F.col(inputs.label).cast("double").alias("label"),
+            F.col("weight").cast("double"), F.lit(is_held).alias("held"), vector_to_array("features").alias("features"))
+
+    return rows(df, False) if held is None else rows(df, False).unionByName(rows(held, True))
+
+
+def fit_boosted_scorer(train: DataFrame, names: Sequence[str], boost: Boost, label: str = LABEL,
+                       weights: DataFrame | None = None, held: DataFrame | None = None, key: str = "id",
+                       local: bool | None = None, **inputs) -> tuple[Scorer, Progress]:
+    """Inputs and boosted trees fitted on ``train``; patience watches ``held``."""
+    blank = fit_inputs(train, names, label, **{"scale": False, **inputs})
+    model, progress = fit_boosted(boosting_rows(blank, train, weights, held, key), boost, local)
+    return replace(blank, model=model), progress
+
+
 # ---- estimators -----------------------------------------------------------------
 
 def forest(trees: int = FOREST_TREES, depth: int = 10, seed: int = 42) -> RandomForestClassifier:
@@ -164,11 +204,6 @@ def boosted(depth: int = 6, rate: float = 0.1, rounds: int = 500, row_share: flo
                          maxMemoryInMB=1024, **more)
 
 
-def boosted_with_stop(indicator: str, tolerance: float = 0.01, **settings) -> GBTClassifier:
-    """Rounds end when the rows marked by ``indicator`` no longer gain."""
-    return boosted(**settings, validationIndicatorCol=indicator, validationTol=tolerance)
-
-
 def elastic_logistic(alpha: float = ELASTIC_ALPHA, penalty: float = 0.0, rounds: int = 100) -> LogisticRegression:
     return LogisticRegression(elasticNetParam=alpha, regParam=penalty, maxIter=rounds, standardization=True)
 
@@ -193,10 +228,21 @@ def feature_importance(scorer: Scorer, spark: SparkSession) -> DataFrame:
 
 
 def split_importance(scorer: Scorer, spark: SparkSession) -> DataFrame:
-    """(feature, splits, mean_gain) over all nodes of all trees, features never split on included.
+    """(feature, splits, total_gain, mean_gain, total_cover) over all nodes of all trees, most splits first.
 
-    Counted from the node table that saving a tree model writes.
+    Features never split on are included. The gains are those the trees were
+    grown by, kept with the nodes. Of an MLlib model (feature, splits,
+    mean_gain) come from the node table that saving it writes.
     """
+    if not isinstance(scorer.model, BoostedModel):
+        return _mllib_splits(scorer, spark)
+    return spark.createDataFrame(
+        scorer.model.importance(scorer.inputs),
+        "feature string, splits long, total_gain double, mean_gain double, total_cover double",
+    ).orderBy(F.desc("splits"), "feature")
+
+
+def _mllib_splits(scorer: Scorer, spark: SparkSession) -> DataFrame:
     path = fresh_path(spark, "nodes")
     scorer.model.write().overwrite().save(path)
     nodes = spark.read.parquet(f"{path}/data").select("nodeData.*").filter("leftChild >= 0")

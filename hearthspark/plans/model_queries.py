@@ -1,7 +1,6 @@
 """Queries that fit models on all training households and score all others.
 
-Forests, perceptron, penalty path and search have the published sizes, the
-defaults of the library functions. Boosting alone has fewer rounds.
+Fits have the published sizes, the defaults of the library functions, where the README doesn't say otherwise.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from hearthspark.operators import metrics as m
 from hearthspark.operators import models as md
 from hearthspark.operators import sampling as sm
+from hearthspark.operators.boosting import Boost
 from hearthspark.operators.encode import apply_scale
 from hearthspark.plans import training as tr
 from hearthspark.plans.registry import query, with_tables
@@ -20,14 +20,6 @@ from hearthspark.sources.files import export_predictions
 from hearthspark.sources.survey import LABEL, Survey
 
 SEED = 42
-ROUNDS = 10
-
-
-def _boost(names: list[str], texts: list[str], depth: int = 6, rounds: int = ROUNDS, seed: int = SEED):
-    def fit(rows: DataFrame) -> md.Scorer:
-        return md.fit_scorer(rows, md.boosted(depth=depth, rounds=rounds, seed=seed), names, categories=texts)
-
-    return fit
 
 
 @query()
@@ -49,13 +41,14 @@ def feature_importance(s: Survey) -> DataFrame:
 @query()
 def split_importance(s: Survey) -> DataFrame:
     train, _, names = tr.modelling_tables(s)
-    return md.split_importance(_boost(names, tr.categories(train), depth=4, rounds=5)(train), s.spark)
+    scorer, _ = md.fit_boosted_scorer(train, names, Boost(), categories=tr.categories(train))
+    return md.split_importance(scorer, s.spark)
 
 
 @query()
 def rf_cross_validate(s: Survey) -> DataFrame:
     train, _, names = tr.modelling_tables(s, filled=False)
-    checked, _ = tr.forest_flow(train, names, k=5)
+    checked, _ = tr.forest_flow(train, names, k=5, final=False)
     return m.fold_summary(checked.per_fold, ["auc", "precision", "recall", "f1"])
 
 
@@ -63,10 +56,18 @@ def rf_cross_validate(s: Survey) -> DataFrame:
 def elasticnet_logistic(s: Survey) -> DataFrame:
     train, test, names = tr.modelling_tables(s)
     balanced = materialize(sm.undersample(train, "id", LABEL, SEED))
-    _, scorer = tr.elastic_path(balanced, names)
+    _, scorer, _ = tr.elastic_path(balanced, names)
     return scorer.predict(test)
 
 
+@query()
+def elasticnet_path(s: Survey) -> DataFrame:
+    """The cross-validated loss of each of the 100 penalties, the largest first."""
+    train, _, names = tr.modelling_tables(s)
+    balanced = materialize(sm.undersample(train, "id", LABEL, SEED))
+    return tr.elastic_path(balanced, names)[0]
+
+
 @query()
 def elasticnet_grid(s: Survey) -> DataFrame:
     train, _, names = tr.modelling_tables(s)
@@ -78,15 +79,17 @@ def elasticnet_grid(s: Survey) -> DataFrame:
 def gbt_predict(s: Survey) -> DataFrame:
     train, test, names = tr.modelling_tables(s)
     weights = sm.class_weights(train, LABEL, boost={1: 1.5})
-    scorer = md.fit_scorer(train, md.boosted(rounds=ROUNDS), names, weights=weights, categories=tr.categories(train))
+    scorer, _ = md.fit_boosted_scorer(train, names, Boost(), weights=weights, categories=tr.categories(train))
     return scorer.predict(test)
 
 
 @query()
 def gbt_early_stop(s: Survey) -> DataFrame:
+    """Boosting that ends after 10 rounds without gain on held-out rows; ``rounds`` are those kept."""
     train, test, names = tr.modelling_tables(s)
-    scorer = tr.boost_with_patience(train, names, rounds=2 * ROUNDS, depth=4, categories=tr.categories(train))
-    return scorer.predict(test).withColumn("rounds", F.lit(scorer.model.getNumTrees))
+    boost = Boost(rounds=md.PATIENT_ROUNDS, patience=md.PATIENCE)
+    scorer, _ = tr.boost_with_patience(train, names, boost=boost, categories=tr.categories(train))
+    return scorer.predict(test).withColumn("rounds", F.lit(len(scorer.model.trees)))
 
 
 @query()
@@ -105,13 +108,14 @@ def adversarial_confusion(s: Survey) -> DataFrame:
 
 @query()
 def stacking_predict(s: Survey) -> DataFrame:
-    """Two learners stacked on training rows scaled and brought to parity by SMOTE; the cut-off from held-out rows."""
+    """Two kinds of learners (by levels, best-first) stacked on training rows scaled and brought to parity by SMOTE; the
+    cut-off from held-out rows."""
     train, test, names = tr.modelling_tables(s)
     split = materialize(sm.split_stratified(train, "id", LABEL, 0.8, SEED))
     fitted = split.filter("split = 'train'")
     scale = md.fit_inputs(fitted, names).scale
     balanced = materialize(tr.smote_rows(apply_scale(fitted, scale), names))
-    stack = tr.fit_stack(balanced, [_boost(names, [], 5, 5), _boost(names, [], 3, 5, 7)], k=5)
+    stack = tr.fit_stack(balanced, tr.boosted_pair(names, Boost(**md.TUNED_BOOST)), k=5)
     held = apply_scale(split.filter("split = 'test'"), scale)
     threshold = tr.tune_threshold(stack.score(held, ["id", LABEL]))
     return m.apply_cutoff(stack.score(apply_scale(test, scale)), threshold, op=">=")
@@ -146,21 +150,20 @@ def prediction_export(s: Survey) -> DataFrame:
 
 @query()
 def gbt_cross_validate(s: Survey) -> DataFrame:
-    """Three folds, each scaled and brought to parity by SMOTE before boosting."""
+    """Three folds, each scaled and brought to parity by SMOTE before boosting that watches the fold left out."""
     train, _, names = tr.modelling_tables(s)
+    texts = tr.categories(train)
+    boost = Boost(rounds=md.PATIENT_ROUNDS, patience=md.PATIENCE)
 
-    def fit(rows: DataFrame) -> md.Scorer:
-        return tr.fit_on_smote(rows, md.boosted(rounds=5, depth=5), names)
+    def fit(rows: DataFrame, left_out: DataFrame) -> md.Scorer:
+        return tr.boost_on_smote(rows, left_out, names, boost, texts=texts)
 
-    return m.fold_summary(tr.cross_validate(train, fit, k=3).per_fold, ["auc", "precision", "recall", "f1"])
+    checked = tr.cross_validate(train, None, k=3, width=3, watching=fit)
+    return m.fold_summary(checked.per_fold, ["auc", "precision", "recall", "f1"])
 
 
 @query()
 def random_search(s: Survey) -> DataFrame:
+    """The search over boosted trees: 20 draws by successive halving, with the rounds each was given."""
     train, _, names = tr.modelling_tables(s)
-
-    def fit(rows: DataFrame, settings: dict[str, float]) -> md.Scorer:
-        return md.fit_scorer(rows, md.boosted(**settings), names)
-
-    results, _ = tr.random_search(train, fit, tr.STACK_SPACE)
-    return results
+    return tr.halving_search(train, names, texts=tr.categories(train)).results

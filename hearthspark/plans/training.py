@@ -11,17 +11,17 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Estimator
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthspark.operators import columns as c
+from hearthspark.operators import elastic as el
 from hearthspark.operators import features as ft
 from hearthspark.operators import metrics as m
 from hearthspark.operators import models as md
 from hearthspark.operators import sampling as sm
+from hearthspark.operators.boosting import Boost, Booster, Progress, bin_rows
 from hearthspark.operators.encode import apply_scale, assemble
 from hearthspark.operators.neighbours import smote
 from hearthspark.plans.prepare import ready_table
@@ -38,6 +38,8 @@ GRID_PENALTIES = [i / 10 for i in range(1, 71)]
 SEARCH_RUNS = 20
 
 Fit = Callable[[DataFrame], md.Scorer]
+# Fits on the rows of the other folds and may watch those of the fold left out.
+WatchingFit = Callable[[DataFrame, DataFrame], md.Scorer]
 
 
 def modelling_tables(s: Survey, no_ratio: float = 0.0, filled: bool = True
@@ -79,7 +81,8 @@ def fit_on_smote(rows: DataFrame, estimator: Estimator, names: Sequence[str], la
     return replace(inputs, model=estimator.copy({estimator.labelCol: label}).fit(ready))
 
 
-def smote_rows(scaled: DataFrame, names: Sequence[str], label: str = LABEL, key: str = "id", seed: int = 42) -> DataFrame:
+def smote_rows(scaled: DataFrame, names: Sequence[str], label: str = LABEL, key: str = "id", seed: int = 42
+               ) -> DataFrame:
     """Rows brought to parity by SMOTE, with a key made of their values: equal rows fall into one fold."""
     balanced = smote(scaled.select(key, label, *names), key, label, names, seed=seed)
     return balanced.withColumn(key, F.xxhash64("synthetic", *names)).drop("synthetic")
@@ -99,16 +102,21 @@ class CrossValidated:
         return self.scorers[min(rows, key=lambda r: (-r["f1"], r["fold"]))["fold"]]
 
 
-def cross_validate(train: DataFrame, fit: Fit, k: int = 5, key: str = "id", label: str = LABEL, seed: int = 42,
+def cross_validate(train: DataFrame, fit: Fit | None, k: int = 5, key: str = "id", label: str = LABEL, seed: int = 42,
                    threshold: float = 0.5, op: str = ">", width: int = 4,
-                   balance: Callable[[DataFrame], DataFrame] | None = None) -> CrossValidated:
-    """Fit on k - 1 folds (balanced if asked), score the one left out, evaluate all folds in one grouped pass."""
+                   balance: Callable[[DataFrame], DataFrame] | None = None,
+                   watching: WatchingFit | None = None) -> CrossValidated:
+    """Fit on k - 1 folds (balanced if asked), score the one left out, evaluate all folds in one grouped pass.
+
+    ``watching`` takes the place of ``fit`` where a fit is to watch the fold left out.
+    """
     folded = materialize(sm.folds(train, key, k, stratify=label, seed=seed))
 
     def run(fold: int) -> tuple[md.Scorer, DataFrame]:
-        part = folded.filter(F.col("fold") != fold)
-        scorer = fit(balance(part) if balance else part)
-        return scorer, scorer.score(folded.filter(F.col("fold") == fold), [key, label, "fold"])
+        part, left_out = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
+        rows = balance(part) if balance else part
+        scorer = watching(rows, left_out) if watching else fit(rows)
+        return scorer, scorer.score(left_out, [key, label, "fold"])
 
     results = md.in_parallel([lambda fold=fold: run(fold) for fold in range(k)], width)
     scored = materialize(stacked([scores for _, scores in results]))
@@ -120,8 +128,9 @@ def cross_validate(train: DataFrame, fit: Fit, k: int = 5, key: str = "id", labe
 
 
 def forest_flow(train: DataFrame, names: Sequence[str], trees: int = md.FOREST_TREES, k: int = 5,
-                threshold: float = 0.5, seed: int = 42, impute: bool = True) -> tuple[CrossValidated, md.Scorer]:
-    """Cross-validate an undersampled forest, then fit it on all undersampled rows.
+                threshold: float = 0.5, seed: int = 42, impute: bool = True, final: bool = True
+                ) -> tuple[CrossValidated, md.Scorer | None]:
+    """Cross-validate an undersampled forest, then (if ``final``) fit it on all undersampled rows.
 
     Medians for missing cells are those of the rows a fit gets: no fold's own
     values fill its cells.
@@ -136,7 +145,7 @@ def forest_flow(train: DataFrame, names: Sequence[str], trees: int = md.FOREST_T
         return materialize(sm.undersample(rows, "id", LABEL, seed))
 
     checked = cross_validate(train, fit, k, seed=seed, threshold=threshold, balance=balance)
-    return checked, fit(balance(train))
+    return checked, fit(balance(train)) if final else None
 
 
 # ---- elastic net --------------------------------------------------------------------
@@ -152,30 +161,24 @@ def penalty_path(df: DataFrame, names: Sequence[str], label: str = LABEL, alpha:
     return [top * ratio ** (i / (n - 1)) for i in range(n)] if n > 1 else [top]
 
 
-def _grid_search(train: DataFrame, estimator: Estimator, names: Sequence[str], alphas: Sequence[float],
-                 penalties: Sequence[float], evaluator, k: int, stratify: str | None, label: str, seed: int,
-                 width: int) -> tuple[DataFrame, md.Scorer]:
-    spark = train.sparkSession
-    folded = sm.folds(train, "id", k, stratify=stratify, seed=seed)
-    blank = md.fit_inputs(folded, names, label)
-    rows = materialize(md.training_rows(blank, folded, ["fold"]))
-    estimator.set(estimator.labelCol, label)
-    grid = ParamGridBuilder().addGrid(estimator.elasticNetParam, list(alphas)).addGrid(
-        estimator.regParam, list(penalties)).build()
-    fitted = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=k,
-                            foldCol="fold", parallelism=width).fit(rows)
-    table = [(float(g[estimator.elasticNetParam]), float(g[estimator.regParam]), float(value))
-             for g, value in zip(grid, fitted.avgMetrics)]
-    results = spark.createDataFrame(table, "alpha double, penalty double, metric double")
-    return results, replace(blank, model=fitted.bestModel)
-
-
 def elastic_path(train: DataFrame, names: Sequence[str], alpha: float = md.ELASTIC_ALPHA, n_penalties: int = 100,
-                 k: int = 10, label: str = LABEL, seed: int = 42, width: int = 4) -> tuple[DataFrame, md.Scorer]:
-    """Logistic elastic net: the penalty with the least cross-validated log-loss."""
+                 k: int = 10, label: str = LABEL, seed: int = 42, block: int = el.BLOCK
+                 ) -> tuple[DataFrame, md.Scorer, el.Path]:
+    """Logistic elastic net: the penalty with the least cross-validated log-loss, all folds and penalties in few passes.
+
+    Results are (alpha, penalty, metric); the scorer has the fit on all rows at that penalty.
+    """
     penalties = penalty_path(train, names, label, alpha, n_penalties)
-    evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName="logLoss")
-    return _grid_search(train, md.elastic_logistic(), names, [alpha], penalties, evaluator, k, label, label, seed, width)
+    folded = sm.folds(train, "id", k, stratify=label, seed=seed)
+    blank = md.fit_inputs(folded, names, label)
+    rows = md.training_rows(blank, folded, ["fold"])
+    # Every pass reads these rows once: as many parts as there are tasks at a time.
+    written = materialize(rows.select("fold", F.col(label).alias("label"), vector_to_array("features").alias("features"))
+                          .repartition(train.sparkSession.sparkContext.defaultParallelism))
+    path = el.logistic_path(written, penalties, alpha, k, block)
+    table = [(alpha, penalty, float(loss)) for penalty, loss in zip(penalties, path.losses.mean(axis=1), strict=True)]
+    results = train.sparkSession.createDataFrame(table, "alpha double, penalty double, metric double")
+    return results, replace(blank, model=path.model(path.best())), path
 
 
 def elastic_grid(train: DataFrame, names: Sequence[str], alphas: Sequence[float] = GRID_ALPHAS,
@@ -285,17 +288,6 @@ def descend(scaled: Standardized, alpha: float, penalty: float, start: np.ndarra
 
 # ---- boosting ------------------------------------------------------------------------
 
-def boost_with_validation(train: DataFrame, names: Sequence[str], label: str = LABEL, seed: int = 42,
-                          share: float = 0.8, tolerance: float = 0.01, categories: Sequence[str] = (),
-                          **settings) -> md.Scorer:
-    """Boosting that stops on held-out rows; the split keeps the class shares."""
-    marked = sm.split_stratified(train, "id", label, share, seed)
-    rows = marked.withColumn("is_validation", F.col("split") == "test").drop("split")
-    weights = sm.class_weights(rows, label)
-    estimator = md.boosted_with_stop("is_validation", tolerance, **settings)
-    return md.fit_scorer(rows, estimator, names, label, weights, extra=["is_validation"], categories=categories)
-
-
 def best_round(losses: Sequence[float], patience: int) -> int:
     """Rounds to keep: up to the lowest loss before ``patience`` rounds in a row brought no lower one."""
     best = 0
@@ -307,26 +299,50 @@ def best_round(losses: Sequence[float], patience: int) -> int:
     return best + 1
 
 
-def boost_with_patience(train: DataFrame, names: Sequence[str], label: str = LABEL, seed: int = 42,
-                        share: float = 0.8, patience: int = md.PATIENCE, rounds: int = md.BOOST["rounds"],
-                        categories: Sequence[str] = (), **settings) -> md.Scorer:
-    """Boosting that ends after ``patience`` rounds without gain on held-out rows, and keeps the best round.
-
-    The loss of every round comes from one evaluation of the whole model; the
-    same seed then gives the same trees up to the round kept.
-    """
+def boost_with_patience(train: DataFrame, names: Sequence[str], label: str = LABEL, seed: int = 42, share: float = 0.8,
+                        boost: Boost = Boost(patience=md.PATIENCE), categories: Sequence[str] = (),
+                        balanced: bool = True) -> tuple[md.Scorer, Progress]:
+    """Boosting watched on held-out rows of each class: no round is grown after patience has ended."""
     marked = materialize(sm.split_stratified(train, "id", label, share, seed))
     rows, held = (marked.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
-    weights = sm.class_weights(rows, label)
+    weights = sm.class_weights(rows, label) if balanced else None
+    return md.fit_boosted_scorer(rows, names, boost, label, weights, held, categories=categories)
 
-    def fit(n: int) -> md.Scorer:
-        return md.fit_scorer(rows, md.boosted(rounds=n, **settings), names, label, weights, categories=categories)
 
-    whole = fit(rounds)
-    weighted = sm.with_weights(held, weights, label)
-    losses = whole.model.evaluateEachIteration(md.training_rows(whole, weighted, ["weight"]))
-    kept = best_round(list(losses), patience)
-    return whole if kept == rounds else fit(kept)
+@dataclass(frozen=True)
+class Oversampled:
+    """Rows scaled and brought to parity by SMOTE, the rows that watch, and the inputs both are made by."""
+
+    inputs: md.Scorer
+    rows: DataFrame
+    watched: DataFrame | None
+    places: list[str]
+
+
+def oversampled(rows: DataFrame, held: DataFrame | None, names: Sequence[str], label: str = LABEL, key: str = "id",
+                seed: int = 42, texts: Sequence[str] = ()) -> Oversampled:
+    """Scale, oversample the minority in the scaled space; ``held`` rows are scaled the same way, not oversampled.
+
+    Text columns go through SMOTE as the 0/1 columns of their values, so a made row may lie between two values.
+    """
+    inputs = md.fit_inputs(rows, names, label, categories=texts)
+    places = [f"x{i}" for i in range(len(inputs.inputs))]
+
+    def wide(df: DataFrame) -> DataFrame:
+        values = vector_to_array("features")
+        return inputs.features(df, [key, label]).select(key, label, *[values[i].alias(n) for i, n in enumerate(places)])
+
+    made = materialize(smote_rows(wide(rows), places, label, key, seed))
+    watched = None if held is None else wide(held).withColumn(key, F.xxhash64(key, *places))
+    return Oversampled(inputs, made, watched, places)
+
+
+def boost_on_smote(rows: DataFrame, held: DataFrame | None, names: Sequence[str], boost: Boost, label: str = LABEL,
+                   key: str = "id", seed: int = 42, texts: Sequence[str] = ()) -> md.Scorer:
+    """Boosted trees on oversampled rows; new tables are scaled the same way."""
+    made = oversampled(rows, held, names, label, key, seed, texts)
+    scorer, _ = md.fit_boosted_scorer(made.rows, made.places, boost, label, held=made.watched, key=key)
+    return replace(made.inputs, model=scorer.model)
 
 
 # ---- stacking ---------------------------------------------------------------------------
@@ -355,21 +371,32 @@ def one_pass_scores(learners: Sequence[md.Scorer], df: DataFrame, keep: Sequence
 
 
 def fit_stack(train: DataFrame, fits: Sequence[Fit], k: int = 5, key: str = "id", label: str = LABEL,
-              seed: int = 42, width: int = 4) -> Stack:
+              seed: int = 42, width: int = 8) -> Stack:
     """Out-of-fold scores of every learner train a logistic model; learners are refitted on all rows."""
     folded = materialize(sm.folds(train, key, k, stratify=label, seed=seed))
 
-    def fold_scores(fold: int) -> DataFrame:
-        part = folded.filter(F.col("fold") != fold)
-        learners = [fit(part) for fit in fits]
-        return one_pass_scores(learners, folded.filter(F.col("fold") == fold), [key, label])
+    # One fit for each fold and learner, and one of each learner on all rows; all are independent.
+    def fitted(fit: Fit, fold: int | None) -> md.Scorer:
+        return fit((folded if fold is None else folded.filter(F.col("fold") != fold)).drop("fold"))
 
-    parts = md.in_parallel([lambda fold=fold: fold_scores(fold) for fold in range(k)], width)
+    places = [(i, fold) for fold in [None, *range(k)] for i in range(len(fits))]
+    made = md.in_parallel([lambda i=i, fold=fold: fitted(fits[i], fold) for i, fold in places], width)
+    scorers = dict(zip(places, made, strict=True))
+    parts = [one_pass_scores([scorers[i, fold] for i in range(len(fits))], folded.filter(F.col("fold") == fold), [key, label])
+             for fold in range(k)]
     level_one = materialize(stacked(parts))
     names = [f"p{i}" for i in range(len(fits))]
     meta = md.fit_scorer(level_one, md.elastic_logistic(0.0, 0.0, 1000), names, label, scale=False)
-    learners = md.in_parallel([lambda fit=fit: fit(folded) for fit in fits], width)
-    return Stack(learners, meta, label)
+    return Stack([scorers[i, None] for i in range(len(fits))], meta, label)
+
+
+def boosted_pair(names: Sequence[str], boost: Boost, label: str = LABEL) -> list[Fit]:
+    """A learner that grows by levels and one that grows best-first, with the same rate, rounds and shares."""
+
+    def fit(own: Boost) -> Fit:
+        return lambda rows: md.fit_boosted_scorer(rows, names, own, label)[0]
+
+    return [fit(boost), fit(replace(boost, **md.SECOND_LEARNER))]
 
 
 def tune_threshold(scored: DataFrame, label: str = LABEL) -> float:
@@ -415,6 +442,53 @@ def random_search(train: DataFrame, fit: Callable[[DataFrame, dict[str, float]],
     return results, chosen[results.first()["run"]]
 
 
+@dataclass(frozen=True)
+class Halving:
+    """Every draw with the rounds it was given and its best F1 on the rows held out, and the best draw's scorer."""
+
+    results: DataFrame  # run, the draw's settings, spent, kept, f1
+    scorer: md.Scorer
+    settings: dict[str, float]
+
+
+def halving_search(train: DataFrame, names: Sequence[str], space: dict[str, tuple] = BOOST_SPACE,
+                   runs: int = SEARCH_RUNS, label: str = LABEL, seed: int = 42, share: float = 0.8, first: int = 20,
+                   texts: Sequence[str] = (), width: int = 4) -> Halving:
+    """Search by successive halving: all draws grow ``first`` rounds, the better half goes on to twice as many, until
+    one is left, which grows to its own number of rounds.
+
+    Boosters go on where they stopped, so no round is grown twice. All start
+    from one table of bins, of rows brought to parity by SMOTE, and are ranked
+    by their best F1 on the rows held out; on ties the earlier draw is better.
+    """
+    split = materialize(sm.split_stratified(train, "id", label, share, seed))
+    rows, held = (split.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
+    made = oversampled(rows, held, names, label, seed=seed, texts=texts)
+    blank = md.fit_inputs(made.rows, made.places, label, scale=False)
+    start = bin_rows(md.boosting_rows(blank, made.rows, None, made.watched))
+    chosen = draws(space, runs, seed)
+    boosters = [Booster(start, Boost(**{name: value for name, value in one.items() if name != "threshold"}, patience=0,
+                                     watch="f1", seed=seed)) for one in chosen]
+
+    def quality(i: int) -> tuple[float, int]:
+        return min(boosters[i].progress.watched), i
+
+    alive, rounds = list(range(runs)), first
+    while len(alive) > 1:
+        md.in_parallel([lambda i=i: boosters[i].advance(min(rounds, boosters[i].boost.rounds)) for i in alive], width)
+        alive = sorted(alive, key=quality)[:(len(alive) + 1) // 2]
+        rounds *= 2
+    best = boosters[alive[0]]
+    best.advance(best.boost.rounds)
+    listed = sorted(space)
+    table = [(i, *[float(chosen[i][n]) for n in listed], len(x.progress.trees), x.progress.best(), -min(x.progress.watched))
+             for i, x in enumerate(boosters)]
+    results = train.sparkSession.createDataFrame(
+        table, "run int, " + ", ".join(f"{n} double" for n in listed) + ", spent int, kept int, f1 double")
+    return Halving(results.orderBy(F.desc("spent"), F.desc("f1"), "run"), replace(made.inputs, model=best.model()),
+                   chosen[alive[0]])
+
+
 # ---- drift by classifier ------------------------------------------------------------------
 
 @dataclass(frozen=True)
