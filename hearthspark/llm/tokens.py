@@ -84,17 +84,34 @@ class Remembered:
         self.compute, self.first, self.old = compute, first or {}, {}
         self.known: dict = dict(self.first)
 
-    def learn(self, cut: Sequence[list[str] | None]) -> Callable[[str], object]:
-        """Know all pre-tokens of these texts; returns the lookup."""
+    def turn(self) -> None:
         if len(self.known) > CACHE_ENTRIES + len(self.first):
             self.old, self.known = self.known, dict(self.first)
-        new = set(chain.from_iterable(tokens for tokens in cut if tokens)) - self.known.keys()
+
+    def add(self, new: set[str]) -> None:
+        """Know these pre-tokens, none of which is known."""
         recalled = {token: self.old[token] for token in new if token in self.old}
         self.known.update(recalled)
         rest = list(new - recalled.keys())
         self.known.update(zip(rest, self.compute(rest), strict=True))
+
+    def learn(self, cut: Sequence[list[str] | None]) -> Callable[[str], object]:
+        """Know all pre-tokens of these texts; returns the lookup."""
+        self.turn()
+        self.add(set(chain.from_iterable(tokens for tokens in cut if tokens)) - self.known.keys())
         return self.known.__getitem__
 
+    def values(self, cut: Sequence[list[str] | None]) -> list[list]:
+        """The values of all pre-tokens of these texts in their order. Most are found at the first look."""
+        self.turn()
+        found = [list(map(self.known.get, tokens or ())) for tokens in cut]
+        gaps = [[i for i, value in enumerate(values) if value is None] for values in found]
+        self.add({tokens[i] for tokens, places in zip(cut, gaps, strict=True) for i in places})
+        for tokens, values, places in zip(cut, found, gaps, strict=True):
+            for i in places:
+                values[i] = self.known[tokens[i]]
+        return found
+
 
 def grouped(found: list[str]) -> Iterator[tuple[list[int], list[str]]]:
     """Places and values of pre-tokens, in groups that may be encoded as one text with separators between them."""
@@ -114,33 +131,38 @@ def encoder(name: str) -> Callable[[list[str]], list[bytes]]:
     """Ids (as bytes) of whole texts under a byte-level tokenizer."""
     tokenizer = load(name)
     cut_text = PreTokens(tokenizer, BYTE_PATTERN, lower=False)
-    # A line feed before a pre-token that isn't white space is a pre-token of one id.
-    border = tokenizer.encode("\n", add_special_tokens=False).ids[0]
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+    # A character of a byte-level entry stands for a byte.
+    sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+    sizes[list(vocabulary.values())] = [len(entry) for entry in vocabulary]
 
     def encode(found: list[str]) -> list[bytes]:
         return [id_bytes(x.ids) for x in tokenizer.encode_batch_fast(found, add_special_tokens=False)]
 
     def encode_new(found: list[str]) -> list[bytes]:
-        made: list[bytes | None] = [None] * len(found)
-        for places, values in grouped(found):
-            ids = np.array(encode_ids(tokenizer, "\n".join(values)), dtype="<u4")
-            borders = np.flatnonzero(ids == border).tolist()
-            if len(borders) == len(places) - 1:
-                data = ids.tobytes()
-                for place, first, last in zip(places, [-1, *borders], [*borders, len(ids)], strict=True):
-                    made[place] = data[4 * first + 4:4 * last]
-        rest = [i for i, value in enumerate(made) if value is None]
-        for i, value in zip(rest, encode([found[i] for i in rest]), strict=True):
-            made[i] = value
-        return made
+        # Behind one another, pre-tokens that begin with a blank are cut again where they were: the bytes of the ids say
+        # where one ends.
+        made: dict[str, bytes] = {}
+        blank = [token for token in found if token[0] == " " and not token[-1].isspace()]
+        for start in range(0, len(blank), GROUP):
+            group = blank[start:start + GROUP]
+            ids = np.array(encode_ids(tokenizer, "".join(group)), dtype="<u4")
+            ends = np.cumsum([len(token) if token.isascii() else len(token.encode()) for token in group])
+            reached = np.cumsum(sizes[ids])
+            stops = np.searchsorted(reached, ends) + 1
+            if reached[-1] == ends[-1] and np.array_equal(reached[stops - 1], ends):
+                data, at = ids.tobytes(), [0, *(4 * stops).tolist()]
+                made.update(zip(group, [data[x:y] for x, y in zip(at[:-1], at[1:], strict=True)], strict=True))
+        rest = [token for token in found if token not in made]
+        made.update(zip(rest, encode(rest), strict=True))
+        return [made[token] for token in found]
 
     remembered = Remembered(encode_new)
 
     def run(batch: list[str]) -> list[bytes]:
         cut = [cut_text(text) for text in batch]
-        get = remembered.learn(cut)
-        return [encode([text])[0] if tokens is None else b"".join(map(get, tokens))
-                for text, tokens in zip(batch, cut, strict=True)]
+        return [encode([text])[0] if tokens is None else b"".join(values)
+                for text, tokens, values in zip(batch, cut, remembered.values(cut), strict=True)]
 
     return run
 
