@@ -12,33 +12,43 @@ from hearthspark.llm import decontaminate, langid, linededup, packing, simhash
 from hearthspark.llm.common import prepared, table
 from hearthspark.llm.storage import Stage
 
+# Bytes of an Arrow batch on its way to a worker. Five stages share the executors' memory, and a thousand long texts at
+# once would take a good part of it.
+BATCH_BYTES = 2 << 20
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session with batches of bounded bytes."""
+    prepared(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language."""
-    prepared(spark)
+    bounded(spark)
     return langid.keep_accepted(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each long enough line only in the first document that has it."""
-    prepared(spark)
+    bounded(spark)
     return linededup.keep_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    prepared(spark)
+    bounded(spark)
     return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
-    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, table(bounded(spark), sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences."""
-    prepared(spark)
+    bounded(spark)
     return packing.pack(docs)
 
 
