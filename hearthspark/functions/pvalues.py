@@ -29,6 +29,38 @@ def kolmogorov_p(distance: Column, n: Column, m: Column) -> Column:
     return F.when(x < 0.04, F.lit(1.0)).when(x < 1, small).otherwise(F.greatest(F.lit(0.0), tail))
 
 
+def smirnov_tail(a: np.ndarray, b: np.ndarray) -> float:
+    """Exact two-sided p of the two-sample statistic, given how often each distinct value, ascending, is in each sample.
+
+    All ways to deal the pooled values to samples of these sizes are equally
+    likely; a way is a path of steps, and the distance counts only where a
+    distinct value ends. The mass of paths at each (step, number dealt to the
+    first sample) goes on by one step, and is taken out where a value ends and
+    the distance is as large as the one found.
+    """
+    n, m = int(a.sum()), int(b.sum())
+    if not n or not m:
+        return math.nan
+    # Distances times n * m are whole numbers.
+    found = int(np.abs(np.cumsum(a) * m - np.cumsum(b) * n).max())
+    ends = set(np.cumsum(a + b).tolist())
+    i = np.arange(n + 1)
+    inside = np.zeros(n + 1)
+    inside[0] = 1.0
+    outside = 0.0
+    for step in range(1, n + m + 1):
+        j, left = step - 1 - i, n + m - step + 1
+        on = inside * np.clip((n - i) / left, 0, 1)
+        stay = inside * np.clip((m - j) / left, 0, 1)
+        inside = stay
+        inside[1:] += on[:-1]
+        if step in ends:
+            far = np.abs(i * m - (step - i) * n) >= found
+            outside += inside[far].sum()
+            inside[far] = 0.0
+    return min(1.0, float(outside))
+
+
 def student_tail(t: float, df: float) -> float:
     """P(|T| > |t|) by integrating the density after t = sqrt(df) tan(angle)."""
     if not (math.isfinite(t) and math.isfinite(df)) or df <= 0:

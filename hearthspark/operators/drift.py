@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthspark.functions.pvalues import kolmogorov_p, student_p
+from hearthspark.functions.pvalues import kolmogorov_p, smirnov_tail, student_p
 from hearthspark.operators.joins import lookup
 from hearthspark.operators.ordering import running_totals
 from hearthspark.operators.profile import long_form
 from hearthspark.session import materialize
 
 
+# Product of two sample sizes from which on the limit law gives p.
+EXACT_BELOW = 10_000
+
+
 def _long(first: DataFrame, second: DataFrame, names: Sequence[str]) -> DataFrame:
     def side(df: DataFrame, mark: int) -> DataFrame:
         numbers = df.select(*[F.col(n).cast("double").alias(n) for n in names])
@@ -22,17 +27,37 @@ def _long(first: DataFrame, second: DataFrame, names: Sequence[str]) -> DataFram
     return side(first, 0).unionByName(side(second, 1)).filter(F.col("value").isNotNull())
 
 
-def kolmogorov_smirnov(first: DataFrame, second: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Largest distance of the two distribution functions and its p, per variable."""
+def kolmogorov_smirnov(first: DataFrame, second: DataFrame, names: Sequence[str], exact_below: int = EXACT_BELOW
+                       ) -> DataFrame:
+    """Largest distance of the two distribution functions and its p, per variable.
+
+    p is exact, ties included, for a variable whose numbers of values in both
+    tables have a product below ``exact_below``, and asymptotic for any other.
+    """
     counts = materialize(_long(first, second, names).groupBy("variable", "value").agg(
         F.count_if(F.col("side") == 0).alias("a"), F.count_if(F.col("side") == 1).alias("b")
     ))
     ordered = running_totals(counts, "value", ["a", "b"], by=["variable"], written=True)
-    sizes = counts.groupBy("variable").agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b"))
+    # One row for each variable.
+    listed = counts.groupBy("variable").agg(F.sum("a").alias("n_a"), F.sum("b").alias("n_b")).collect()
+    sizes = first.sparkSession.createDataFrame(listed, "variable string, n_a long, n_b long")
     shares = lookup(ordered, sizes, ["variable"]).filter("n_a > 0 and n_b > 0")
     gap = F.abs((F.col("a_before") + F.col("a")) / F.col("n_a") - (F.col("b_before") + F.col("b")) / F.col("n_b"))
     widest = shares.groupBy("variable").agg(F.max(gap).alias("d"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"))
-    return widest.withColumn("p_value", kolmogorov_p(F.col("d"), F.col("n_a"), F.col("n_b")))
+    limit = kolmogorov_p(F.col("d"), F.col("n_a"), F.col("n_b"))
+    small = [row["variable"] for row in listed if 0 < row["n_a"] * row["n_b"] < exact_below]
+    if not small:
+        return widest.withColumn("p_value", limit)
+    # Such a variable has fewer values than ``exact_below``.
+    exact = counts.filter(F.col("variable").isin(small)).groupBy("variable").applyInPandas(
+        _exact_p, "variable string, p_exact double")
+    return widest.join(exact, "variable", "left").withColumn("p_value", F.coalesce("p_exact", limit)).drop("p_exact")
+
+
+def _exact_p(counts: pd.DataFrame) -> pd.DataFrame:
+    ordered = counts.sort_values("value")
+    return pd.DataFrame({"variable": ordered["variable"].head(1),
+                         "p_exact": [smirnov_tail(ordered["a"].to_numpy(), ordered["b"].to_numpy())]})
 
 
 def _sides(first: DataFrame, second: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -162,7 +162,8 @@ def descend_all(gram: np.ndarray, target: np.ndarray, flat: np.ndarray, bent: np
         on = (sign != 0) | (free[left] & (diagonal[left] > 0))
         both = on[:, :, None] & on[:, None, :]
         system = np.where(both, gram[left], 0) + unit * np.where(on, bent[left], 1.0)[:, :, None]
-        pulled = np.where(on, target[left] - np.where(on, np.where(free[left], 0, flat[left]) * sign, 0), 0)
+        # A coefficient that is not zero has a finite penalty.
+        pulled = np.where(on, target[left] - np.where(on, flat[left], 0) * sign, 0)
         solved = np.linalg.solve(system, pulled[:, :, None])[:, :, 0]
         same = ((solved * sign >= 0) | free[left]).all(axis=1)
         b[left[same]] = solved[same]
