@@ -36,8 +36,9 @@ NUMBER = "0-9²³¹¼-¾"
 SPACE = "\\t-\\r \u0085 "
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 WORD_PATTERN = re.compile(f"{CONTRACTIONS}|[{LETTER}]+|[{NUMBER}]|[^{SPACE}{LETTER}{NUMBER}]+")
+# No contraction begins as a word does, so words, the most frequent by far, are tried first.
 BYTE_PATTERN = re.compile(
-    f"{CONTRACTIONS}| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+    f" ?[{LETTER}]+|{CONTRACTIONS}| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
 BEYOND = re.compile("[^\x00-įı-ſ]")
 
