@@ -30,6 +30,7 @@ from hearthspark.operators.elastic import LogisticModel
 from hearthspark.operators.encode import MISSING, fit_levels, fit_scale
 from hearthspark.operators.impute import apply_fill, fit_median
 from hearthspark.operators.metrics import apply_cutoff
+from hearthspark.operators.neural import Network, NeuralModel, fit_network
 from hearthspark.operators.sampling import with_weights
 from hearthspark.session import fresh_path
 from hearthspark.sources.survey import LABEL
@@ -48,13 +49,16 @@ HIDDEN_LAYERS = (128, 64, 32)
 TUNED_HIDDEN_LAYERS = (256, 128, 32)
 ELASTIC_ALPHA = 0.5
 
+# Models of this package, which score by an expression and are saved with the settings.
+OWN_MODELS = (BoostedModel, LogisticModel, NeuralModel)
+
 
 @dataclass(frozen=True)
 class Scorer:
     names: list[str]
     fills: dict[str, float]
     scale: dict[str, tuple[float, float]]
-    model: Model | BoostedModel | LogisticModel
+    model: Model | BoostedModel | LogisticModel | NeuralModel
     threshold: float = 0.5
     op: str = ">"
     label: str = LABEL
@@ -92,7 +96,7 @@ class Scorer:
 
     def score(self, df: DataFrame, keep: Sequence[str] = ("id",)) -> DataFrame:
         """``keep`` columns and ``score``: probability of the label, or the regression value."""
-        if isinstance(self.model, (BoostedModel, LogisticModel)):
+        if isinstance(self.model, OWN_MODELS):
             return self.features(df, keep).select(*keep, self.model.probability(F.col("features")).alias("score"))
         scored = self.model.transform(self.features(df, keep))
         probability = "probability" in scored.columns
@@ -108,7 +112,7 @@ class Scorer:
     def save(self, spark: SparkSession, path: str) -> None:
         settings = {"names": self.names, "fills": self.fills, "scale": self.scale, "threshold": self.threshold,
                     "op": self.op, "label": self.label, "levels": self.levels}
-        if isinstance(self.model, (BoostedModel, LogisticModel)):
+        if isinstance(self.model, OWN_MODELS):
             settings["own"] = self.model.settings()
         else:
             PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
@@ -123,11 +127,13 @@ class Scorer:
         return Scorer(model=own_model(own) if own else PipelineModel.load(f"{path}/model").stages[0], **settings)
 
 
-def own_model(settings: dict) -> BoostedModel | LogisticModel:
+def own_model(settings: dict) -> BoostedModel | LogisticModel | NeuralModel:
     """A model of this package from what its ``settings`` gave."""
     kind = settings.pop("kind")
     if kind == "logistic":
         return LogisticModel(**settings)
+    if kind == "neural":
+        return NeuralModel.of(settings)
     return BoostedModel(**{**settings, "trees": [Tree(**tree) for tree in settings["trees"]]})
 
 
@@ -169,7 +175,7 @@ def fit_scorer(train: DataFrame, estimator: Estimator, names: Sequence[str], lab
     return replace(blank, model=chosen.fit(training_rows(blank, weighted, [*extra, "weight"])))
 
 
-def boosting_rows(inputs: Scorer, df: DataFrame, weights: DataFrame | None, held: DataFrame | None, key: str = "id"
+def weighted_rows(inputs: Scorer, df: DataFrame, weights: DataFrame | None, held: DataFrame | None, key: str = "id"
                   ) -> DataFrame:
     """(key, label, weight, held, features as an array); ``held`` rows are watched only."""
     def rows(part: DataFrame, is_held: bool) -> DataFrame:
@@ -186,10 +192,19 @@ def fit_boosted_scorer(train: DataFrame, names: Sequence[str], boost: Boost, lab
                        local: bool | None = None, **inputs) -> tuple[Scorer, Progress]:
     """Inputs and boosted trees fitted on ``train``; patience watches ``held``."""
     blank = fit_inputs(train, names, label, **{"scale": False, **inputs})
-    model, progress = fit_boosted(boosting_rows(blank, train, weights, held, key), boost, local)
+    model, progress = fit_boosted(weighted_rows(blank, train, weights, held, key), boost, local)
     return replace(blank, model=model), progress
 
 
+def fit_network_scorer(train: DataFrame, names: Sequence[str], network: Network, label: str = LABEL,
+                       weights: DataFrame | None = None, held: DataFrame | None = None, key: str = "id", **inputs
+                       ) -> tuple[Scorer, list[float]]:
+    """Scaled inputs and a neural classifier fitted on ``train``; patience watches F1 on ``held``."""
+    blank = fit_inputs(train, names, label, **inputs)
+    model, scores = fit_network(weighted_rows(blank, train, weights, held, key), network)
+    return replace(blank, model=model), scores
+
+
 # ---- estimators -----------------------------------------------------------------
 
 def forest(trees: int = FOREST_TREES, depth: int = 10, seed: int = 42) -> RandomForestClassifier:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearthspark.operators import columns as c
 from hearthspark.operators import metrics as m
 from hearthspark.operators import models as md
 from hearthspark.operators import sampling as sm
@@ -92,18 +93,27 @@ def gbt_early_stop(s: Survey) -> DataFrame:
     return scorer.predict(test).withColumn("rounds", F.lit(len(scorer.model.trees)))
 
 
+def _adversarial(s: Survey) -> tr.Adversarial:
+    """Train against test households by all columns but key, label and expansion factors."""
+    train, test, _ = tr.modelling_tables(s)
+    texts = tr.categories(train)
+    names = c.feature_names(train, ["id", LABEL, "Fex_c", "Fex_dpto", *texts])
+    return tr.adversarial_validation(train, test, names, texts=texts)
+
+
 @query()
 def adversarial_validation(s: Survey) -> DataFrame:
-    train, test, names = tr.modelling_tables(s)
-    features = [n for n in names if n not in ("Fex_c", "Fex_dpto")]
-    return tr.adversarial_validation(train, test, features).metrics
+    return _adversarial(s).metrics
 
 
 @query()
 def adversarial_confusion(s: Survey) -> DataFrame:
-    train, test, names = tr.modelling_tables(s)
-    features = [n for n in names if n not in ("Fex_c", "Fex_dpto")]
-    return tr.adversarial_validation(train, test, features).confusion
+    return _adversarial(s).confusion
+
+
+@query()
+def adversarial_importance(s: Survey) -> DataFrame:
+    return _adversarial(s).importances
 
 
 @query()
@@ -131,6 +141,14 @@ def mlp_predict(s: Survey) -> DataFrame:
     return scorer.predict(test)
 
 
+@query()
+def nn_predict(s: Survey) -> DataFrame:
+    """Class weights in place of undersampling, stopped by F1 on held-out rows; ``epochs`` are those run."""
+    train, test, names = tr.modelling_tables(s)
+    scorer, scores = tr.network_with_patience(train, names, categories=tr.categories(train))
+    return scorer.predict(test).withColumn("epochs", F.lit(len(scores)))
+
+
 @query()
 def batch_score(s: Survey) -> DataFrame:
     """Fit, save, load, and score the test households with the loaded scorer."""
@@ -167,3 +185,10 @@ def random_search(s: Survey) -> DataFrame:
     """The search over boosted trees: 20 draws by successive halving, with the rounds each was given."""
     train, _, names = tr.modelling_tables(s)
     return tr.halving_search(train, names, texts=tr.categories(train)).results
+
+
+@query()
+def nn_search(s: Survey) -> DataFrame:
+    """The search over networks: 75 draws by successive halving, with the epochs each was given."""
+    train, _, names = tr.modelling_tables(s)
+    return tr.network_search(train, names, texts=tr.categories(train)).results

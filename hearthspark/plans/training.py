@@ -24,6 +24,7 @@ from hearthspark.operators import sampling as sm
 from hearthspark.operators.boosting import Boost, Booster, Progress, bin_rows
 from hearthspark.operators.encode import apply_scale, assemble
 from hearthspark.operators.neighbours import smote
+from hearthspark.operators.neural import Network, Trainer, training_table
 from hearthspark.plans.prepare import ready_table
 from hearthspark.session import materialize
 from hearthspark.sources.survey import LABEL, LEAKY, Survey
@@ -33,6 +34,9 @@ BOOST_SPACE = {"rate": (0.01, 0.3), "rounds": (100, 1000), "depth": (3, 10), "ro
                "column_share": (0.5, 1.0)}
 STACK_SPACE = {"rate": (0.01, 0.2), "rounds": (100, 300), "depth": (3, 15), "row_share": (0.5, 1.0),
                "column_share": (0.5, 1.0), "min_rows": (1, 6), "threshold": (0.3, 0.6)}
+NETWORK_SPACE = {"rate": (3e-4, 1e-2), "batch": [32, 64], "hidden_1": [128, 256], "hidden_2": [32, 64, 128],
+                 "hidden_3": [16, 32, 64], "dropout": (0.1, 0.5), "decay": (7e-6, 1e-4)}
+NETWORK_RUNS = 75
 GRID_ALPHAS = [i / 100 for i in range(5, 100, 5)]
 GRID_PENALTIES = [i / 10 for i in range(1, 71)]
 SEARCH_RUNS = 20
@@ -309,6 +313,16 @@ def boost_with_patience(train: DataFrame, names: Sequence[str], label: str = LAB
     return md.fit_boosted_scorer(rows, names, boost, label, weights, held, categories=categories)
 
 
+def network_with_patience(train: DataFrame, names: Sequence[str], network: Network = Network(), label: str = LABEL,
+                          seed: int = 42, share: float = 0.8, categories: Sequence[str] = ()
+                          ) -> tuple[md.Scorer, list[float]]:
+    """A neural classifier with balanced class weights, watched by F1 on held-out rows of each class."""
+    marked = materialize(sm.split_stratified(train, "id", label, share, seed))
+    rows, held = (marked.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
+    weights = sm.class_weights(rows, label)
+    return md.fit_network_scorer(rows, names, network, label, weights, held, categories=categories)
+
+
 @dataclass(frozen=True)
 class Oversampled:
     """Rows scaled and brought to parity by SMOTE, the rows that watch, and the inputs both are made by."""
@@ -465,7 +479,7 @@ def halving_search(train: DataFrame, names: Sequence[str], space: dict[str, tupl
     rows, held = (split.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
     made = oversampled(rows, held, names, label, seed=seed, texts=texts)
     blank = md.fit_inputs(made.rows, made.places, label, scale=False)
-    start = bin_rows(md.boosting_rows(blank, made.rows, None, made.watched))
+    start = bin_rows(md.weighted_rows(blank, made.rows, None, made.watched))
     chosen = draws(space, runs, seed)
     boosters = [Booster(start, Boost(**{name: value for name, value in one.items() if name != "threshold"}, patience=0,
                                      watch="f1", seed=seed)) for one in chosen]
@@ -489,6 +503,41 @@ def halving_search(train: DataFrame, names: Sequence[str], space: dict[str, tupl
                    chosen[alive[0]])
 
 
+def network_search(train: DataFrame, names: Sequence[str], space: dict[str, tuple] = NETWORK_SPACE,
+                   runs: int = NETWORK_RUNS, label: str = LABEL, seed: int = 42, share: float = 0.8, first: int = 2,
+                   epochs: int = Network.epochs, texts: Sequence[str] = (), width: int = 8) -> Halving:
+    """Successive halving over networks: all draws train ``first`` epochs, the better half goes on to twice as many.
+
+    Class weights are balanced; draws are ranked by their best F1 on the held-out rows, on ties the earlier is better.
+    """
+    split = materialize(sm.split_stratified(train, "id", label, share, seed))
+    rows, held = (split.filter(F.col("split") == part).drop("split") for part in ("train", "test"))
+    blank = md.fit_inputs(rows, names, label, categories=texts)
+    start = training_table(md.weighted_rows(blank, rows, sm.class_weights(rows, label), held))
+    chosen = draws(space, runs, seed)
+
+    def network(one: dict) -> Network:
+        rest = {name: value for name, value in one.items() if not name.startswith("hidden")}
+        return Network(hidden=tuple(one[name] for name in sorted(one) if name.startswith("hidden")), epochs=epochs,
+                       seed=seed, **rest)
+
+    trainers = [Trainer(start, network(one)) for one in chosen]
+    alive, until = list(range(runs)), first
+    while True:
+        md.in_parallel([lambda i=i: trainers[i].advance(until) for i in alive], width)
+        if len(alive) == 1 and until >= epochs:
+            break
+        alive = sorted(alive, key=lambda i: (-max(trainers[i].scores), i))[:(len(alive) + 1) // 2]
+        until = epochs if len(alive) == 1 else min(epochs, 2 * until)
+    listed = sorted(space)
+    table = [(i, *[float(chosen[i][n]) for n in listed], len(x.scores), int(np.argmax(x.scores)) + 1, max(x.scores))
+             for i, x in enumerate(trainers)]
+    results = train.sparkSession.createDataFrame(
+        table, "run int, " + ", ".join(f"{n} double" for n in listed) + ", spent int, kept int, f1 double")
+    return Halving(results.orderBy(F.desc("spent"), F.desc("f1"), "run"),
+                   replace(blank, model=trainers[alive[0]].model()), chosen[alive[0]])
+
+
 # ---- drift by classifier ------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -499,11 +548,14 @@ class Adversarial:
 
 
 def adversarial_validation(first: DataFrame, second: DataFrame, names: Sequence[str],
-                           trees: int = md.ADVERSARIAL_TREES, seed: int = 43, share: float = 0.7) -> Adversarial:
-    """How well a forest tells two tables apart on held-out rows."""
-    tagged = c.union_tagged(first.select("id", *names), second.select("id", *names), "is_test")
+                           trees: int = md.ADVERSARIAL_TREES, seed: int = 43, share: float = 0.7,
+                           texts: Sequence[str] = ()) -> Adversarial:
+    """How well a forest tells two tables apart on held-out rows; ``texts`` enter as the 0/1 columns of their values."""
+    both = ["id", *names, *texts]
+    tagged = c.union_tagged(first.select(*both), second.select(*both), "is_test")
     split = materialize(sm.split_random(tagged, ["id", "is_test"], share, seed))
-    scorer = md.fit_scorer(split.filter("split = 'train'"), md.forest(trees, seed=seed), names, "is_test", scale=False)
+    scorer = md.fit_scorer(split.filter("split = 'train'"), md.forest(trees, seed=seed), names, "is_test", scale=False,
+                           categories=texts)
     scored = materialize(scorer.predict(split.filter("split = 'test'"), ["id", "is_test"]))
     area = m.roc_auc(scored, "is_test", either_direction=True).first()["auc"]
     quality = m.scores(scored, 1, "is_test").select(F.lit(area).cast("double").alias("auc"), "precision", "recall", "f1")

@@ -8,6 +8,7 @@ import pytest
 
 from hearthspark.operators import models as md
 from hearthspark.operators.boosting import Boost
+from hearthspark.operators.neural import Network
 from hearthspark.plans import model_queries as mq
 from hearthspark.plans import training as tr
 
@@ -36,6 +37,7 @@ def ask(monkeypatch, module, name: str, build) -> dict:
     monkeypatch.setattr(mq.sm, "class_weights", lambda *_, **__: None)
     monkeypatch.setattr(mq.sm, "split_stratified", lambda *_, **__: Rows())
     monkeypatch.setattr(mq, "apply_scale", lambda *_: None)
+    monkeypatch.setattr(mq.c, "feature_names", lambda *_: [])
     monkeypatch.setattr(tr, "smote_rows", lambda *_: None)
     monkeypatch.setattr(md, "fit_inputs", lambda *_, **__: type("Blank", (), {"inputs": [], "scale": {}}))
     monkeypatch.setattr(module, name, recorder)
@@ -51,6 +53,8 @@ def ask(monkeypatch, module, name: str, build) -> dict:
     (tr, "adversarial_validation", mq.adversarial_validation, {"trees": 100}),
     (tr, "adversarial_validation", mq.adversarial_confusion, {"trees": 100}),
     (tr, "elastic_path", mq.elasticnet_logistic, {"n_penalties": 100, "k": 10}),
+    (tr, "network_with_patience", mq.nn_predict, {"network": Network()}),
+    (tr, "network_search", mq.nn_search, {"space": tr.NETWORK_SPACE, "runs": 75, "epochs": 100}),
     (md, "perceptron", mq.mlp_predict, {"rounds": 100}),
     (tr, "halving_search", mq.random_search, {"space": tr.BOOST_SPACE, "runs": 20}),
     (md, "fit_boosted_scorer", mq.gbt_predict, {"boost": Boost(**md.BOOST)}),

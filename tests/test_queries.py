@@ -14,9 +14,10 @@ from tests.conftest import SMALL
 # The queries of the text subpackage have tests of their own.
 WITH_SQL = sorted(name for name in oracle_sql() if name in all_queries())
 PREDICTING = ("rf_predict", "gbt_predict", "gbt_early_stop", "mlp_predict", "batch_score", "stacking_predict",
-              "elasticnet_logistic")
+              "elasticnet_logistic", "nn_predict")
 OVER_FOLDS = ("rf_cross_validate", "gbt_cross_validate")
-IMPORTANCES = ("feature_importance", "split_importance")
+IMPORTANCES = ("feature_importance", "split_importance", "adversarial_importance")
+SEARCHES = {"random_search": (20, 1000), "nn_search": (75, 100)}
 
 
 @pytest.fixture(scope="module")
@@ -57,6 +58,25 @@ def test_importances_cover_the_features(spark, name):
     assert len({r["feature"] for r in rows}) == len(rows) > 10
 
 
+@pytest.mark.parametrize("name", SEARCHES)
+def test_searches_give_most_to_the_best(spark, name):
+    runs, most = SEARCHES[name]
+    rows = queries()[name](spark, SMALL).collect()
+    assert sorted(r["run"] for r in rows) == list(range(runs))
+    assert all(0 <= r["f1"] <= 1 and 1 <= r["kept"] <= r["spent"] <= most for r in rows)
+    # Each halving leaves at least half of the draws with what they had.
+    spent = sorted((r["spent"] for r in rows), reverse=True)
+    assert spent[0] > spent[runs // 2] >= spent[-1]
+
+
+def test_penalties_have_a_least_loss(spark):
+    rows = queries()["elasticnet_path"](spark, SMALL).collect()
+    penalties = [r["penalty"] for r in rows]
+    assert len(rows) == 100 and penalties == sorted(penalties, reverse=True)
+    # The first penalty leaves the shares alone: log 2 on balanced rows.
+    assert rows[0]["metric"] == pytest.approx(0.693, abs=0.01) and min(r["metric"] for r in rows) < rows[0]["metric"]
+
+
 def test_the_two_parts_are_told_apart_within_bounds(spark):
     (row,) = queries()["adversarial_validation"](spark, SMALL).collect()
     assert 0.5 <= row["auc"] <= 1
