@@ -15,6 +15,7 @@ from hearthspark.plans import prepare as pr
 from hearthspark.plans.feature_queries import ENHANCED_SQL, FRACTIONS, rounded
 from hearthspark.plans.registry import query, with_tables
 from hearthspark.plans.table_queries import ENHANCED_NAMES, KEYS, SEED, filled_sql, md5_order
+from hearthspark.session import materialize
 from hearthspark.sources.survey import LABEL, LEAKY, SPARSE, Survey
 
 RANKED = f"""select *, row_number() over (partition by {{by}} order by {md5_order()}) as r,
@@ -187,9 +188,11 @@ def _prepared(label: str) -> str:
 
 @query(with_tables(_prepared("case when part='train' then Pobre end")))
 def prepare_data(s: Survey) -> DataFrame:
-    fitted = pr.fit_prepare(s.train)
-    train = pr.apply_prepare(s.train, fitted).withColumn("part", F.lit("train"))
-    test = pr.apply_prepare(s.test, fitted).withColumn("part", F.lit("test"))
+    # Read by five jobs: the join of the source tables is done once.
+    rows = materialize(s.households)
+    fitted = pr.fit_prepare(rows.filter("part = 'train'").drop("part"))
+    train = pr.apply_prepare(rows.filter("part = 'train'").drop("part"), fitted).withColumn("part", F.lit("train"))
+    test = pr.apply_prepare(rows.filter("part = 'test'").drop("part", LABEL), fitted).withColumn("part", F.lit("test"))
     return rounded(train.unionByName(test), *NUMBERS)
 
 

@@ -14,7 +14,7 @@ from tests.conftest import SMALL
 # The queries of the text subpackage have tests of their own.
 WITH_SQL = sorted(name for name in oracle_sql() if name in all_queries())
 PREDICTING = ("rf_predict", "gbt_predict", "gbt_early_stop", "mlp_predict", "batch_score", "stacking_predict",
-              "elasticnet_logistic", "nn_predict")
+              "elasticnet_logistic")
 OVER_FOLDS = ("rf_cross_validate", "gbt_cross_validate")
 IMPORTANCES = ("feature_importance", "split_importance", "adversarial_importance")
 SEARCHES = {"random_search": (20, 1000), "nn_search": (75, 100)}
@@ -46,6 +46,19 @@ def test_predictions_beat_the_majority(spark, name):
     assert sum(r["label"] == r["prediction"] for r in rows) / len(rows) > max(share, 1 - share)
 
 
+def test_weighted_network_ranks_and_finds_the_rarer_class(spark):
+    """With balanced class weights F1 and ranking count, not the share of right answers."""
+    survey = Survey(spark, SMALL)
+    truth = survey.households.filter("part = 'test'").selectExpr("id", f"{LABEL} as label")
+    rows = queries()["nn_predict"](spark, SMALL).join(truth, "id").select("id", "label", "score", "prediction", "epochs").collect()
+    assert len({r["id"] for r in rows}) == len(rows) == truth.count()
+    assert all(0 <= r["score"] <= 1 and r["prediction"] in (0, 1) and 1 <= r["epochs"] <= 100 for r in rows)
+    table = spark.createDataFrame(rows)
+    share = sum(r["label"] for r in rows) / len(rows)
+    assert metrics.roc_auc(table).first()["auc"] > 0.8
+    assert metrics.scores(table, 1).first()["f1"] > 1.3 * 2 * share / (1 + share)
+
+
 @pytest.mark.parametrize("name", OVER_FOLDS)
 def test_folds_are_better_than_chance(spark, name):
     rows = queries()[name](spark, SMALL).collect()
