@@ -30,7 +30,7 @@ def load(name: str) -> SentencePieceProcessor:
         if MARK in model.id_to_piece(i).lstrip(MARK):
             raise ValueError(f"{name}: the piece {model.id_to_piece(i)!r} crosses a white space mark")
     # A mark before the first word, none lost and no character changed: what marked_words relies on.
-    if model.decode(model.encode("  a\n b　ﬁ ")) != "  a\n b　ﬁ " or model.encode("a")[0] != model.encode(
+    if model.decode(model.encode("  a\n b\u3000\ufb01 ")) != "  a\n b\u3000\ufb01 " or model.encode("a")[0] != model.encode(
             "b a")[-1]:
         raise ValueError(f"{name}: the model normalizes its input")
     return model

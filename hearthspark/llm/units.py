@@ -14,12 +14,12 @@ ENTRY_BYTES = 300
 
 # White space of any pattern library, and characters whose class differs between them: a blank behind one of these may
 # share a token with it.
-_UNSURE = "\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁯　﻿▁"
+_UNSURE = "\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff\u2581"
 _UNIT = re.compile(f" (?:[^ ]+|(?<=[{_UNSURE}]) )*")
 _VISIBLE_END = re.compile(f"[^{_UNSURE}]\\Z")
 _CHUNK = re.compile(" +[^ ]*")
 
-MARK = "▁"
+MARK = "\u2581"
 
 
 def units(text: str) -> list[str]:
