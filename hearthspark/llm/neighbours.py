@@ -32,9 +32,13 @@ ROUNDS = 8
 # Dimensions of a column block, and how many standard deviations too far a partial distance must be.
 BLOCK_DIMS = 16
 DEVIATIONS = 3.0
+# Pairs are gathered one by one once this share of them is left; until then whole blocks are multiplied.
+GATHER_SHARE = 0.05
 # Vectors of a tile of a list, and queries of a chunk, compared in one go.
 TILE = 1024
 EVERY = 20
+# Queries compared with the sample in one go.
+PROBE_CHUNK = 64
 # Distinct vectors that a task gathers before it passes on their smallest ids.
 GATHERED = 20_000
 
@@ -126,15 +130,16 @@ class Fitted:
         """
         queries = self.asked(vectors)
         order = np.argsort(squared(queries, self.centroids), axis=1, kind="stable")
-        rank = np.argsort(order, axis=1)
         enough = min(2 * (self.top + 1), len(self.sample))
         held = np.cumsum(np.bincount(self.owners, minlength=len(self.centroids))[order], axis=1)
         number = np.maximum(self.probes, (held < enough).sum(axis=1) + 1)
         limit = np.full(len(vectors), np.inf)
-        for i in range(len(vectors) if enough > self.top + 1 else 0):
-            own = self.sample[rank[i, self.owners] < number[i]]
-            far = squared(queries[i:i + 1], own)[0]
-            limit[i] = np.partition(far, enough - 1)[enough - 1]
+        for start in range(0, len(vectors) if enough > self.top + 1 else 0, PROBE_CHUNK):
+            some = slice(start, start + PROBE_CHUNK)
+            probed = np.zeros(order[some].shape, dtype=bool)
+            np.put_along_axis(probed, order[some], np.arange(order.shape[1]) < number[some, None], axis=1)
+            far = np.where(probed[:, self.owners], squared(queries[some], self.sample), np.inf)
+            limit[some] = np.partition(far, enough - 1, axis=1)[:, enough - 1]
         # Rounding must not shut out the last of them.
         return [row[:n] for row, n in zip(order, number, strict=True)], limit * (1 + 1e-9) + 1e-9 * self.norm2
 
@@ -144,6 +149,13 @@ def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (np.einsum("ij,ij->i", a, a)[:, None] + np.einsum("ij,ij->i", b, b)[None, :] - 2 * (a @ b.T)).clip(min=0)
 
 
+def squared_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``squared`` as a single product, which rounding may leave a little below 0."""
+    left = np.column_stack((-2 * a, np.einsum("ij,ij->i", a, a), np.ones(len(a))))
+    right = np.column_stack((b, np.ones(len(b)), np.einsum("ij,ij->i", b, b)))
+    return left @ right.T
+
+
 def fit(distinct: DataFrame, dims: int, top: int, seed: int = 11) -> Fitted:
     """Centroids by k-means on a sample, and as many probes as the sample's own neighbours need."""
     row = distinct.agg(F.count("*").alias("n"), F.max(F.aggregate(
@@ -187,25 +199,29 @@ def adaptive_scan(queries: np.ndarray, vectors: np.ndarray, limits: np.ndarray,
     pair's partial distance, times D / d, estimates its distance. It is
     abandoned if the estimate exceeds the limit by more than ``deviations``
     standard deviations of such an estimate, sqrt(2/d (1 - d/D)) of itself.
+    While many pairs are left, a block of all of them is one matrix product,
+    far cheaper than gathering the pairs; the few left later are gathered.
     """
     dims = queries.shape[1]
     edges = [*range(0, dims, block), dims]
     if len(edges) > 2 and edges[-1] - edges[-2] < block // 2:
         del edges[-2]
-    query_blocks = [np.ascontiguousarray(queries[:, a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-    vector_blocks = [np.ascontiguousarray(vectors[:, a:b]) for a, b in zip(edges, edges[1:], strict=False)]
-    rows = cols = partial = None
-    for seen, q, x in zip(edges[1:], query_blocks, vector_blocks, strict=True):
+    partial, alive = np.zeros((len(queries), len(vectors))), np.ones((len(queries), len(vectors)), dtype=bool)
+    rows = cols = None
+    for begin, seen in zip(edges, edges[1:], strict=False):
+        q, x = queries[:, begin:seen], vectors[:, begin:seen]
         spread = math.sqrt(2 / seen * (1 - seen / dims))
         allowed = limits * (seen / dims) * (1 + deviations * spread) if seen < dims else limits
-        if partial is None:
-            first = squared(q, x)
-            rows, cols = np.nonzero(first <= allowed[:, None])
-            partial = first[rows, cols]
+        if rows is None:
+            partial += squared_product(q, x)
+            alive &= partial <= allowed[:, None]
+            if seen == dims or np.count_nonzero(alive) <= GATHER_SHARE * alive.size:
+                rows, cols = np.nonzero(alive)
+                partial = partial[rows, cols]
             continue
         partial = partial + np.square(q[rows] - x[cols]).sum(axis=1)
-        alive = partial <= allowed[rows]
-        rows, cols, partial = rows[alive], cols[alive], partial[alive]
+        kept = partial <= allowed[rows]
+        rows, cols, partial = rows[kept], cols[kept], partial[kept]
     return rows, cols
 
 
@@ -285,6 +301,8 @@ def nearest(embeddings: DataFrame, top: int = TOP, every: int = EVERY) -> DataFr
              .groupBy("list", "tile").agg(F.collect_list(F.struct("k1", "k2", "vector", "first", "ids")).alias("rows")))
     queries = append(distinct.where("asked").select("k1", "k2", "vector"), probe,
                      [StructField("lists", ArrayType(IntegerType())), StructField("limit", DoubleType())], ["vector"])
+    # Written, as both the chunks of a list and their number are made from it.
+    queries = Stage(queries, "asked").df
     spread = queries.select("k1", "k2", "vector", "limit", F.explode("lists").alias("list"))
     chunks = spread.groupBy("list").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
     chunked = (spread.join(chunks, "list").withColumn("chunk", F.pmod(F.xxhash64("k2"), "chunks"))

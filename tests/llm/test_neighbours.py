@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -93,3 +95,44 @@ def test_scan_without_a_limit_keeps_all_pairs():
     limits = np.sort(neighbours.squared(a, b), axis=1)[:, 2]
     rows, cols = neighbours.adaptive_scan(a, b, limits * (1 + 1e-12), deviations=50)
     assert np.bincount(rows, minlength=5).tolist() == [3] * 5
+
+
+def test_pairs_are_not_gathered_while_most_are_left():
+    rng = np.random.default_rng(5)
+    a, b = (v / np.linalg.norm(v, axis=1)[:, None] for v in (rng.normal(size=(300, 64)), rng.normal(size=(500, 64))))
+    far = neighbours.squared(a, b)
+    limits = np.sort(far, axis=1)[:, 9] * (1 + 1e-9)
+    tracemalloc.start()
+    rows, cols = neighbours.adaptive_scan(a, b, limits)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Two blocks of partial distances, and flags; gathered dimensions take a multiple of it.
+    assert peak < 40 * len(a) * len(b)
+    # What is left is what a test of each pair on its own leaves.
+    left = np.ones(far.shape, dtype=bool)
+    for seen in (16, 32, 48):
+        spread = np.sqrt(2 / seen * (1 - seen / 64))
+        left &= neighbours.squared(a[:, :seen], b[:, :seen]) <= (limits * seen / 64 * (1 + 3 * spread))[:, None]
+    left &= far <= limits[:, None]
+    assert sorted(zip(rows, cols, strict=True)) == sorted(zip(*np.nonzero(left), strict=True))
+
+
+def test_limits_of_probed_lists():
+    rng = np.random.default_rng(6)
+    sample, asked = rng.normal(size=(400, 6)), rng.normal(size=(150, 6))
+    norm2 = float((sample * sample).sum(axis=1).max())
+    fitted = neighbours.Fitted(norm2, np.eye(7), np.zeros((0, 7)), 3, sample, np.zeros(0), 4)
+    fitted.sample = fitted.raised(sample)
+    fitted.centroids = fitted.sample[:25]
+    fitted.owners = fitted.lists(sample)
+    lists, limits = fitted.probed(asked)
+    far = neighbours.squared(fitted.asked(asked), fitted.sample)
+    for i in range(len(asked)):
+        held = np.sort(far[i, np.isin(fitted.owners, lists[i])])
+        assert len(held) >= 10 and limits[i] == pytest.approx(held[9], rel=1e-6)
+
+
+def test_queries_are_probed_once(spark):
+    found = neighbours.nearest(given(spark, "embeddings"))
+    # The scan of the tiles is left; chunks of queries and their number come from what is written.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
