@@ -34,8 +34,11 @@ BLOCK_DIMS = 16
 DEVIATIONS = 3.0
 # Pairs are gathered one by one once this share of them is left; until then whole blocks are multiplied.
 GATHER_SHARE = 0.05
-# Vectors of a tile of a list, and queries of a chunk, compared in one go.
+# Vectors of a list, and queries of a chunk, compared in one go.
 TILE = 1024
+# Neighbouring lists are bundled, as a query travels once to each bundle it probes: to so many bundles of all vectors,
+# of one ``TILE`` at least. A tile, what one row holds of a bundle, has at most so many vectors.
+BUNDLES, MOST_BUNDLED = 32, 16384
 EVERY = 20
 # Queries compared with the sample in one go.
 PROBE_CHUNK = 64
@@ -107,6 +110,9 @@ class Fitted:
     sample: np.ndarray
     owners: np.ndarray
     top: int
+    # The bundle of each list, and vectors of a tile of a bundle.
+    bundles: np.ndarray | None = None
+    tile: int = TILE
 
     def raised(self, vectors: np.ndarray) -> np.ndarray:
         """With the dimension that gives all vectors the same norm."""
@@ -179,6 +185,9 @@ def fit(distinct: DataFrame, dims: int, top: int, seed: int = 11) -> Fitted:
         centroids = np.where(counts[:, None] > 0, sums / np.maximum(1, counts)[:, None], centroids)
     fitted.centroids = centroids
     fitted.owners = own = squared(raised, centroids).argmin(axis=1)
+    sizes = np.bincount(own, minlength=k) * (n / len(sample))
+    fitted.tile = min(MOST_BUNDLED, max(TILE, n // BUNDLES))
+    fitted.bundles = bundled(centroids, sizes, fitted.tile)
     queries = fitted.asked(sample[:PROBE_QUERIES])
     nearest = np.argsort(squared(queries, raised), axis=1)[:, :top + 1]
     rank = np.argsort(np.argsort(squared(queries, centroids), axis=1), axis=1)
@@ -187,6 +196,35 @@ def fit(distinct: DataFrame, dims: int, top: int, seed: int = 11) -> Fitted:
     return fitted
 
 
+def bundled(centroids: np.ndarray, sizes: np.ndarray, most: float) -> np.ndarray:
+    """The bundle of each list: halves of halves along the widest dimension until one holds ``most`` vectors or a list."""
+    bundles, found, left = np.zeros(len(centroids), dtype=np.int32), 0, [np.arange(len(centroids))]
+    while left:
+        some = left.pop()
+        if len(some) > 1 and sizes[some].sum() > most:
+            widest = centroids[some].var(axis=0).argmax()
+            some = some[np.argsort(centroids[some, widest], kind="stable")]
+            left += [some[:len(some) // 2], some[len(some) // 2:]]
+            continue
+        bundles[some] = found
+        found += 1
+    return bundles
+
+
+def by_bundle(lists: Sequence[np.ndarray], bundles: np.ndarray) -> pa.Array:
+    """Of each query its bundles, and in each the lists to probe."""
+    query = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    probed = np.concatenate([np.zeros(0, dtype=np.int64), *lists])
+    own = bundles[probed]
+    order = np.lexsort((probed, own, query))
+    query, probed, own = query[order], probed[order], own[order]
+    begins = np.nonzero(np.diff(query, prepend=-1) | np.diff(own, prepend=-1))[0]
+    inner = pa.ListArray.from_arrays(pa.array([*begins, len(probed)], pa.int32()), pa.array(probed, pa.int32()))
+    outer = np.searchsorted(query[begins], np.arange(len(lists) + 1))
+    return pa.ListArray.from_arrays(pa.array(outer, pa.int32()), pa.StructArray.from_arrays(
+        [pa.array(own[begins], pa.int32()), inner], names=["bundle", "lists"]))
+
+
 def matrix(vectors: pa.Array, dims: int) -> np.ndarray:
     return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
@@ -231,8 +269,9 @@ FOUND = StructType([StructField(name, LongType()) for name in ("q1", "q2", "k1",
 
 
 def scan_tiles(pairs: DataFrame, fitted: Fitted, dims: int, top: int) -> DataFrame:
-    """For each query of each (tile, chunk) row the best ``top`` + 1 distinct vectors of the tile, by exact score."""
+    """For each query of each (tile, chunk) row the best ``top`` + 1 distinct vectors of its lists there, by exact score."""
     sent = pairs.sparkSession.sparkContext.broadcast((fitted.norm2, fitted.rotation))
+    step = TILE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         norm2, rotation = sent.value
@@ -243,7 +282,20 @@ def scan_tiles(pairs: DataFrame, fitted: Fitted, dims: int, top: int) -> DataFra
                 chunk = batch.column(1)[i].values
                 vectors, queries = matrix(tile.field("vector"), dims), matrix(chunk.field("vector"), dims)
                 limits = chunk.field("limit").to_numpy(zero_copy_only=False)
-                rows, cols = adaptive_scan(shape.asked(queries) @ rotation, shape.raised(vectors) @ rotation, limits)
+                turned, asked = shape.raised(vectors) @ rotation, shape.asked(queries) @ rotation
+                lists, probed = tile.field("list").to_numpy(), chunk.field("lists")
+                wanted = probed.flatten().to_numpy()
+                wanting = np.repeat(np.arange(len(queries)), probed.value_lengths().to_numpy())
+                found = []
+                for one in np.unique(lists):
+                    members, askers = np.nonzero(lists == one)[0], wanting[wanted == one]
+                    for start in range(0, len(members) if len(askers) else 0, step):
+                        some = members[start:start + step]
+                        rows, cols = adaptive_scan(asked[askers], turned[some], limits[askers])
+                        found.append((askers[rows], some[cols]))
+                if not found:
+                    continue
+                rows, cols = (np.concatenate(x) for x in zip(*found, strict=True))
                 score = np.einsum("ij,ij->i", queries[rows], vectors[cols])
                 first = tile.field("first").to_numpy()[cols]
                 order = np.lexsort((first, -score, rows))
@@ -269,7 +321,7 @@ def nearest(embeddings: DataFrame, top: int = TOP, every: int = EVERY) -> DataFr
     null or non-finite component, or another number of components than most
     rows, take no part. Two rows with one id and different vectors are two
     candidates. Copies of a vector are searched for once; the probed lists are
-    scanned whole, in tiles, however large a list is.
+    scanned whole, in tiles of their bundle, however large a list is.
     """
     ids = embeddings.select("vec_id", F.col("embedding").cast("array<float>").alias("vector"))
     valid = ids.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
@@ -283,32 +335,39 @@ def nearest(embeddings: DataFrame, top: int = TOP, every: int = EVERY) -> DataFr
     sent = spark.sparkContext.broadcast(fitted)
 
     def place() -> Callable[[pa.Array], Sequence[pa.Array]]:
-        return lambda column: [pa.array(sent.value.lists(matrix(column, dims)).astype(np.int32))]
+        def compute(column: pa.Array) -> Sequence[pa.Array]:
+            own = sent.value.lists(matrix(column, dims))
+            return pa.array(own.astype(np.int32)), pa.array(sent.value.bundles[own])
+
+        return compute
 
     def probe() -> Callable[[pa.Array], Sequence[pa.Array]]:
         def compute(column: pa.Array) -> Sequence[pa.Array]:
             near, limit = sent.value.probed(matrix(column, dims))
-            return pa.array([row.tolist() for row in near], pa.list_(pa.int32())), pa.array(limit, pa.float64())
+            return by_bundle(near, sent.value.bundles), pa.array(limit, pa.float64())
 
         return compute
 
-    listed = append(distinct, place, [StructField("list", IntegerType())], ["vector"]).withColumn(
-        "first", F.element_at("ids", 1))
+    listed = append(distinct, place, [StructField("list", IntegerType()), StructField("bundle", IntegerType())],
+                    ["vector"]).withColumn("first", F.element_at("ids", 1))
     listed = Stage(listed, "listed").df
-    # As many rows as lists.
-    tiles = listed.groupBy("list").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    tiled = (listed.join(tiles, "list").withColumn("tile", F.pmod(F.xxhash64("k2"), F.col("tiles").cast("long")))
-             .groupBy("list", "tile").agg(F.collect_list(F.struct("k1", "k2", "vector", "first", "ids")).alias("rows")))
+    # As many rows as bundles.
+    tiles = listed.groupBy("bundle").agg(F.ceil(F.count("*") / fitted.tile).cast("int").alias("tiles"))
+    tiled = (listed.join(tiles, "bundle").withColumn("tile", F.pmod(F.xxhash64("k2"), F.col("tiles").cast("long")))
+             .groupBy("bundle", "tile")
+             .agg(F.collect_list(F.struct("k1", "k2", "vector", "first", "ids", "list")).alias("rows")))
+    probes = StructType([StructField("bundle", IntegerType()), StructField("lists", ArrayType(IntegerType()))])
     queries = append(distinct.where("asked").select("k1", "k2", "vector"), probe,
-                     [StructField("lists", ArrayType(IntegerType())), StructField("limit", DoubleType())], ["vector"])
-    # Written, as both the chunks of a list and their number are made from it.
+                     [StructField("bundles", ArrayType(probes)), StructField("limit", DoubleType())], ["vector"])
+    # Written, as both the chunks of a bundle and their number are made from it.
     queries = Stage(queries, "asked").df
-    spread = queries.select("k1", "k2", "vector", "limit", F.explode("lists").alias("list"))
-    chunks = spread.groupBy("list").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
-    chunked = (spread.join(chunks, "list").withColumn("chunk", F.pmod(F.xxhash64("k2"), "chunks"))
-               .groupBy("list", "chunk").agg(F.collect_list(F.struct("k1", "k2", "vector", "limit")).alias("asked"))
-               .join(tiles, "list").withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles").cast("long") - 1))))
-    pairs = tiled.join(chunked, ["list", "tile"]).select("rows", "asked")
+    spread = queries.select("k1", "k2", "vector", "limit", F.explode("bundles").alias("at")).select(
+        "k1", "k2", "vector", "limit", "at.*")
+    chunks = spread.groupBy("bundle").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
+    chunked = (spread.join(chunks, "bundle").withColumn("chunk", F.pmod(F.xxhash64("k2"), "chunks"))
+               .groupBy("bundle", "chunk").agg(F.collect_list(F.struct("k1", "k2", "vector", "limit", "lists")).alias("asked"))
+               .join(tiles, "bundle").withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles").cast("long") - 1))))
+    pairs = tiled.join(chunked, ["bundle", "tile"]).select("rows", "asked")
     found = scan_tiles(pairs, fitted, dims, top)
     best = found.groupBy("q1", "q2").agg(F.collect_list(F.struct(
         (-F.col("score")).alias("minus"), "first", "ids")).alias("found"))

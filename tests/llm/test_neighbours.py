@@ -136,3 +136,31 @@ def test_queries_are_probed_once(spark):
     found = neighbours.nearest(given(spark, "embeddings"))
     # The scan of the tiles is left; chunks of queries and their number come from what is written.
     assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
+def test_queries_travel_once_to_each_bundle_of_lists(spark):
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(4000, 16)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), i % 20 == 0) for i, v in enumerate(vectors)],
+                               "vec_id long, vector array<float>, asked boolean")
+    fitted = neighbours.fit(neighbours.distinct_vectors(df, 20), 16, 20)
+    assert len(fitted.centroids) == 63 and len(np.unique(fitted.bundles)) <= 8
+    lists, _ = fitted.probed(vectors[:50].astype(np.float64))
+    assert np.mean([len(x) for x in lists]) > 16
+    sent = neighbours.by_bundle(lists, fitted.bundles).to_pylist()
+    for row, probed in zip(sent, lists, strict=True):
+        assert len({x["bundle"] for x in row}) == len(row) <= 8
+        assert sorted(i for x in row for i in x["lists"]) == sorted(probed)
+        assert all(fitted.bundles[i] == x["bundle"] for x in row for i in x["lists"])
+    assert neighbours.by_bundle([], fitted.bundles).to_pylist() == []
+
+
+def test_bundles_hold_no_more_than_a_tile_or_a_list():
+    rng = np.random.default_rng(8)
+    centroids, sizes = rng.normal(size=(50, 5)), rng.integers(0, 40, 50).astype(float)
+    sizes[3] = 500
+    bundles = neighbours.bundled(centroids, sizes, 100)
+    assert sorted(set(bundles)) == list(range(bundles.max() + 1))
+    for i in range(bundles.max() + 1):
+        assert sizes[bundles == i].sum() <= 100 or (bundles == i).sum() == 1
+    assert neighbours.bundled(np.zeros((40, 2)), np.full(40, 9.0), 100).max() < 8
