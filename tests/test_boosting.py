@@ -207,3 +207,23 @@ def test_search_spends_rounds_on_the_better_half(spark):
     assert sorted(r["spent"] for r in table) == sorted([4, 4, 8, int(found.settings["rounds"])])
     assert all(0 <= r["f1"] <= 1 and r["kept"] <= r["spent"] for r in table)
     assert found.scorer.score(df, ["id"]).count() == 300
+
+
+def test_cuts_are_quantiles_by_rank(spark):
+    source = np.random.default_rng(5)
+    x = np.column_stack((source.integers(0, 5, 3000), source.normal(size=3000), np.full(3000, 2.0), -source.integers(0, 900, 3000)))
+    rows = frame(spark, x, np.zeros(3000), np.ones(3000), np.zeros(3000, bool)).repartition(4)
+    for column, cuts in zip(x.T, bo.find_cuts(rows, 4, 16), strict=True):
+        ordered = np.sort(column)
+        wanted = {float(ordered[int(np.ceil(i / 16 * 3000)) - 1]) for i in range(1, 16)}
+        assert cuts == sorted(value for value in wanted if value < ordered[-1])
+
+
+def test_a_summary_keeps_ranks_and_ends():
+    values = np.random.default_rng(6).normal(size=50_000)
+    made, total = bo.summary(values, most=1000)
+    ordered = np.sort(values)
+    assert len(made) == 1000 and total.sum() == 50_000 and made[-1] == ordered[-1]
+    assert np.abs(np.searchsorted(ordered, made, side="right") - total.cumsum()).max() == 0 and total.max() <= 50
+    both, sums = bo.summary(np.concatenate((made, made)), np.concatenate((total, total)))
+    assert (both == made).all() and (sums == 2 * total).all()
