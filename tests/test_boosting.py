@@ -227,3 +227,34 @@ def test_a_summary_keeps_ranks_and_ends():
     assert np.abs(np.searchsorted(ordered, made, side="right") - total.cumsum()).max() == 0 and total.max() <= 50
     both, sums = bo.summary(np.concatenate((made, made)), np.concatenate((total, total)))
     assert (both == made).all() and (sums == 2 * total).all()
+
+
+def test_joint_bins_count_what_single_features_do(monkeypatch):
+    monkeypatch.setattr(bo, "FEW_ROWS", 50)
+    monkeypatch.setattr(bo, "TOGETHER", 300)
+    source = np.random.default_rng(7)
+    n, widths = 2000, np.array([2, 2, 64, 3, 2, 40, 64, 1])
+    bins = (source.random((n, 8)) * widths).astype(np.uint8)
+    weight = np.where(source.random(n) < 0.5, 1.0, 3.7e6)
+    rows = bo.Rows(np.arange(n), (source.random(n) < 0.4).astype(float), weight, source.random(n) < 0.2, np.zeros(n), bins).prepare()
+    assert len(rows.joint) == 2 and all(len(x.parts) <= bo.JOINT_CELLS for x in rows.joint)
+    tree = bo.Tree()
+    tree.split(0, 2, 30, 1.0)
+    tree.split(1, 0, 0, 1.0)
+    tree.split(4, 5, 0, 1.0)
+    rows.begin(Boost(row_share=0.9), 0)
+    rows.follow(tree.arrays())
+    node = np.where(rows.drawn, bo.routed(tree.arrays(), bins), -1)
+    features = np.array([0, 2, 3, 5, 7])
+    found = rows.histogram([3, 6, 5, 2], features, 64)
+    assert 0 < (node == 5).sum() < 50 < (node == 3).sum()
+    for i, one in enumerate([3, 6, 5, 2]):
+        inside = node == one
+        for j, feature in enumerate(features):
+            for k, values in enumerate((rows.gradient, rows.curve, np.ones(n))):
+                wanted = np.bincount(bins[inside, feature], values[inside], 64)
+                assert (found[i, j, :, k] == wanted.astype(np.int64)).all()
+    margin = rows.margin.copy()
+    tree.value = [float(i) for i in range(len(tree.value))]
+    rows.finish(tree)
+    assert np.allclose(rows.margin - margin, bo.routed(tree.arrays(), bins))
