@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -106,3 +107,30 @@ def test_a_scorer_of_the_path_is_saved_and_loaded(spark, survey):
     ours = {r["id"]: r["score"] for r in scorer.score(survey.test).collect()}
     assert ours == {r["id"]: r["score"] for r in loaded.score(survey.test).collect()}
     assert all(0 < value < 1 for value in ours.values())
+
+
+def test_sums_of_all_models_are_those_of_each_alone(monkeypatch):
+    """One product of matrices a chunk gives all models' sums, in place of one for each model."""
+    monkeypatch.setattr(el, "CHUNK", 300)
+    x, y = drawn()
+    source = np.random.default_rng(2)
+    fold, left_out = source.integers(0, FOLDS, len(x)).astype(np.int32), np.array([-1, 0, 3, 2, -1])
+    betas = source.normal(size=(5, 8)) * 30
+    batch = pa.RecordBatch.from_arrays([pa.array(fold), pa.array(y.astype(float)), pa.array(list(x))], names=list("abc"))
+    made = []
+
+    def in_one_task(_, add_up):
+        real = el.pair_products
+        monkeypatch.setattr(el, "pair_products", lambda z: (made.append(len(z)), real(z))[1])
+        return add_up(iter([batch]))
+
+    monkeypatch.setattr(el, "sum_arrays", in_one_task)
+    loss, held_out, gradient, products = el.newton_sums(None, betas, left_out)
+    assert made == [300, 300, 100]
+    z = np.column_stack((np.ones(len(x)), x))
+    for m in range(5):
+        margin, seen = z @ betas[m], fold != left_out[m]
+        one, p = np.logaddexp(0, margin) - y * margin, 1 / (1 + np.exp(-margin))
+        assert loss[m] == pytest.approx(one[seen].sum()) and held_out[m] == pytest.approx(one[~seen].sum())
+        assert gradient[m] == pytest.approx(z[seen].T @ (y - p)[seen], abs=1e-8)
+        assert np.allclose(products[m], z.T @ ((p * (1 - p) * seen)[:, None] * z), atol=1e-8)
