@@ -213,7 +213,7 @@ def test_cuts_are_quantiles_by_rank(spark):
     source = np.random.default_rng(5)
     x = np.column_stack((source.integers(0, 5, 3000), source.normal(size=3000), np.full(3000, 2.0), -source.integers(0, 900, 3000)))
     rows = frame(spark, x, np.zeros(3000), np.ones(3000), np.zeros(3000, bool)).repartition(4)
-    for column, cuts in zip(x.T, bo.find_cuts(rows, 4, 16), strict=True):
+    for column, cuts in zip(x.T, bo.sorted_cuts(rows, 4, 16), strict=True):
         ordered = np.sort(column)
         wanted = {float(ordered[int(np.ceil(i / 16 * 3000)) - 1]) for i in range(1, 16)}
         assert cuts == sorted(value for value in wanted if value < ordered[-1])
